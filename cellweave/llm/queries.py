@@ -6,11 +6,13 @@ from cellweave.llm.decontaminate import op8_decontamination
 from cellweave.llm.packing import op5_packing
 from cellweave.llm.simhash import op3_simhash
 from cellweave.llm.token_counts import op10_token_counts
+from cellweave.llm.toxicity import op4_toxicity
 
 
 def queries() -> dict:
     return {
         "op3_simhash": op3_simhash,
+        "op4_toxicity": op4_toxicity,
         "op5_packing": op5_packing,
         "op8_decontamination": op8_decontamination,
         "op10_token_counts": op10_token_counts,
