@@ -47,3 +47,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_of(col: str):
     """The text column as a string, null read as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cellweave.llm.decontaminate import op8_decontamination
+from cellweave.llm.line_dedup import op6_line_dedup
 from cellweave.llm.packing import op5_packing
 from cellweave.llm.simhash import op3_simhash
 from cellweave.llm.token_counts import op10_token_counts
@@ -14,6 +15,7 @@ def queries() -> dict:
         "op3_simhash": op3_simhash,
         "op4_toxicity": op4_toxicity,
         "op5_packing": op5_packing,
+        "op6_line_dedup": op6_line_dedup,
         "op8_decontamination": op8_decontamination,
         "op10_token_counts": op10_token_counts,
     }
