@@ -9,8 +9,10 @@ each gets its rank among the pieces of its length, and ranges of ranks are mappe
 from __future__ import annotations
 
 import os
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +25,16 @@ from cellweave.llm.common import read_table, text_of, written
 
 CAPACITY = 2048
 #: Words whose ids a worker remembers; longer words are encoded each time.
-CACHE_WORDS, CACHE_BYTES = 1 << 19, 48
+CACHE_WORDS, CACHE_BYTES = 1 << 20, 48
 #: Bytes of text cut into words at once.
 _AT_ONCE = 1 << 22
 _SPACE = b" \t\n\r\x0b\x0c"
 
 
+#: ASCII letters and after them ASCII punctuation without the apostrophe: the tokenizer splits between the two.
+_PLAIN = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)?")
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian 32-bit numbers, word by word with a bounded cache.
 
@@ -42,29 +48,55 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library, self.cache = Tokenizer.from_file(path), {}
+        self.mark = self.library.encode("\x01", add_special_tokens=False).ids
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        """Many words in one call of the library, with a control character between them to tell them apart."""
+        if len(self.mark) != 1 or len(words) == 1 or any(b"\x01" in w for w in words):
+            return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)]
+        ids = np.array(self.library.encode_batch_fast([b" \x01 ".join(words).decode("utf-8")], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(ids == self.mark[0])
+        if len(cuts) != len(words) - 1:  # the mark's id comes from a word, too
+            return [found for w in words for found in self._encode([w])]
+        raw, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+        return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends, strict=False)]
+
+    def _learn(self, words: set[bytes]) -> None:
+        cache, parts, rest = self.cache, {}, []
+        for w in words:
+            if (m := _PLAIN.fullmatch(w)) and len(w) <= CACHE_BYTES:
+                parts[w] = (m[1].lower(), m[2])
+            else:
+                rest.append(w)
+        new = list({x for both in parts.values() for x in both if x}.difference(cache)) + rest
+        for at in range(0, len(new), 4096):
+            own = new[at : at + 4096]
+            cache.update(zip(own, self._encode(own), strict=True))
+        for w, (letters, marks) in parts.items():
+            cache[w] = cache[letters] + cache[marks] if marks else cache[letters]
 
     def __call__(self, text: bytes) -> bytes:
         return b"".join(map(self._run, _runs(text)))
 
     def _run(self, run: bytes) -> bytes:
         words, cache = run.split(), self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
         if len(cache) > CACHE_WORDS:
             cache.clear()
-        new = list(set(words) - cache.keys())
-        cache.update(zip(new, self._encode(new), strict=True))
-        ids = b"".join([cache[w] for w in words])
-        for w in new:
-            if len(w) > CACHE_BYTES:
-                del cache[w]
-        return ids
+        ids = list(map(cache.get, words))
+        if None in ids:
+            new = {w for w, x in zip(words, ids, strict=True) if x is None}
+            self._learn(new)
+            ids = [cache[w] for w in words]
+            for w in new:
+                if len(w) > CACHE_BYTES:
+                    del cache[w]
+        return b"".join(ids)
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> WordEncoder:
+    """One for each tokenizer in a Python worker, which runs many tasks in turn."""
+    return WordEncoder(path)
 
 
 def _runs(text: bytes) -> Iterator[bytes]:
@@ -84,7 +116,7 @@ def _cutter(path: str, end_id: int, capacity: int):
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen, task = WordEncoder(path), [0] * (capacity + 1), TaskContext.get().partitionId()
+        encode, seen, task = encoder(path), [0] * (capacity + 1), TaskContext.get().partitionId()
         for batch in batches:
             rows, held = [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

@@ -6,6 +6,7 @@ from cellweave.llm.decontaminate import op8_decontamination
 from cellweave.llm.line_dedup import op6_line_dedup
 from cellweave.llm.packing import op5_packing
 from cellweave.llm.simhash import op3_simhash
+from cellweave.llm.substring_dedup import op9_substring_dedup
 from cellweave.llm.token_counts import op10_token_counts
 from cellweave.llm.toxicity import op4_toxicity
 
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op5_packing": op5_packing,
         "op6_line_dedup": op6_line_dedup,
         "op8_decontamination": op8_decontamination,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_token_counts": op10_token_counts,
     }
 
