@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cellweave.llm.ann import op1_nearest
 from cellweave.llm.decontaminate import op8_decontamination
 from cellweave.llm.line_dedup import op6_line_dedup
 from cellweave.llm.packing import op5_packing
@@ -13,6 +14,7 @@ from cellweave.llm.toxicity import op4_toxicity
 
 def queries() -> dict:
     return {
+        "op1_nearest": op1_nearest,
         "op3_simhash": op3_simhash,
         "op4_toxicity": op4_toxicity,
         "op5_packing": op5_packing,
