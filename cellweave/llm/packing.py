@@ -8,6 +8,7 @@ each gets its rank among the pieces of its length, and ranges of ranks are mappe
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from bisect import bisect_left, insort
@@ -31,8 +32,8 @@ _AT_ONCE = 1 << 22
 _SPACE = b" \t\n\r\x0b\x0c"
 
 
-#: ASCII letters and after them ASCII punctuation without the apostrophe: the tokenizer splits between the two.
-_PLAIN = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)?")
+#: ASCII or Latin-1 letters and after them ASCII punctuation without the apostrophe: the tokenizer splits between the two.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)?")
 
 
 class WordEncoder:
@@ -48,32 +49,37 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library, self.cache = Tokenizer.from_file(path), {}
-        self.mark = self.library.encode("\x01", add_special_tokens=False).ids
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        """Many words in one call of the library, with a control character between them to tell them apart."""
-        if len(self.mark) != 1 or len(words) == 1 or any(b"\x01" in w for w in words):
-            return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)]
-        ids = np.array(self.library.encode_batch_fast([b" \x01 ".join(words).decode("utf-8")], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(ids == self.mark[0])
-        if len(cuts) != len(words) - 1:  # the mark's id comes from a word, too
-            return [found for w in words for found in self._encode([w])]
-        raw, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
-        return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends, strict=False)]
+        # Lower-case words of plain letters pass the normalizer and the splitter unchanged, so these can be left out for them.
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        self.letters = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}))
+
+    def _many(self, library, words: list[bytes], mark: str) -> list[bytes]:
+        """Each word's ids, from one call of the library with a word of a single id between the words to tell them apart."""
+        sign = library.encode(mark, add_special_tokens=False).ids
+        if len(sign) == 1 and len(words) > 1 and not any(mark.encode() in w for w in words):
+            ids = np.array(library.encode_batch_fast([f" {mark} ".join([w.decode("utf-8") for w in words])], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == sign[0])
+            if len(cuts) == len(words) - 1:  # else the mark's id comes from a word, too
+                raw, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+                return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends, strict=False)]
+        return [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)]
 
     def _learn(self, words: set[bytes]) -> None:
-        cache, parts, rest = self.cache, {}, []
+        cache, parts, rest = self.cache, {}, set()
         for w in words:
-            if (m := _PLAIN.fullmatch(w)) and len(w) <= CACHE_BYTES:
-                parts[w] = (m[1].lower(), m[2])
+            if len(w) <= CACHE_BYTES and (m := _PLAIN.fullmatch(w)):
+                parts[w] = (m[1].lower() if m[1].isascii() else m[1].decode("utf-8").lower().encode("utf-8"), m[2])
             else:
-                rest.append(w)
-        new = list({x for both in parts.values() for x in both if x}.difference(cache)) + rest
-        for at in range(0, len(new), 4096):
-            own = new[at : at + 4096]
-            cache.update(zip(own, self._encode(own), strict=True))
-        for w, (letters, marks) in parts.items():
-            cache[w] = cache[letters] + cache[marks] if marks else cache[letters]
+                rest.add(w)
+        letters = list({x for x, _ in parts.values()}.difference(cache))
+        rest |= {x for _, x in parts.values() if x}.difference(cache)
+        for library, own, mark in ((self.letters, letters, ","), (self.library, list(rest), "\x01")):
+            for at in range(0, len(own), 4096):
+                cache.update(zip(own[at : at + 4096], self._many(library, own[at : at + 4096], mark), strict=True))
+        for w, (stem, marks) in parts.items():
+            cache[w] = cache[stem] + cache[marks] if marks else cache[stem]
 
     def __call__(self, text: bytes) -> bytes:
         return b"".join(map(self._run, _runs(text)))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from cellweave.llm.ann import op1_nearest
 from cellweave.llm.decontaminate import op8_decontamination
 from cellweave.llm.line_dedup import op6_line_dedup
+from cellweave.llm.licenses import op2_licenses, op2_sql
 from cellweave.llm.packing import op5_packing
+from cellweave.llm.secrets import op7_secrets
 from cellweave.llm.simhash import op3_simhash
 from cellweave.llm.substring_dedup import op9_substring_dedup
 from cellweave.llm.token_counts import op10_token_counts
@@ -15,10 +17,12 @@ from cellweave.llm.toxicity import op4_toxicity
 def queries() -> dict:
     return {
         "op1_nearest": op1_nearest,
+        "op2_licenses": op2_licenses,
         "op3_simhash": op3_simhash,
         "op4_toxicity": op4_toxicity,
         "op5_packing": op5_packing,
         "op6_line_dedup": op6_line_dedup,
+        "op7_secrets": op7_secrets,
         "op8_decontamination": op8_decontamination,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_token_counts": op10_token_counts,
@@ -26,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_licenses": op2_sql()}
