@@ -5,24 +5,38 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellweave.llm.common import read_table, shared_dir
 from cellweave.llm.decontaminate import without_contaminated
+from cellweave.llm.line_dedup import dedup_lines
 from cellweave.llm.packing import packed_documents
 from cellweave.llm.simhash import keep_one_of_each_group
+from cellweave.llm.toxicity import without_toxic
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.5 or more go."""
+    return without_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go; a document of which nothing but white space is left goes with them. ``n_chars`` follows the text."""
+    rest = dedup_lines(docs).where((F.col("n_gone") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
+    return rest.withColumn("n_chars", F.when(F.col("n_gone") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
     return keep_one_of_each_group(docs)
 
 
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
     return without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's tokens in sequences of at most 2048."""
     import public_tokenizers
 
@@ -30,12 +44,14 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("simhash_near_dedup", near_duplicates),
-    ("benchmark_decontamination", decontamination),
-    ("best_fit_packing", packing),
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
 ]
 
-#: SQL can express neither the learned toxicity score nor the fingerprints nor the tokenizer: the stages are tested by brute force.
+#: SQL can express neither the learned score, the fingerprints nor the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
