@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from cellweave.llm.common import read_table, text_of, written
 
 CAPACITY = 2048
-#: Words whose ids a worker remembers; longer words are encoded each time.
-CACHE_WORDS, CACHE_BYTES = 1 << 20, 48
+#: Words as they stand, and words without case and marks, whose ids a worker remembers; longer words are encoded each time.
+CACHE_WORDS, CACHE_STEMS, CACHE_BYTES = 1 << 19, 5 << 18, 48
 #: Bytes of text cut into words at once.
 _AT_ONCE = 1 << 22
 _SPACE = b" \t\n\r\x0b\x0c"
@@ -48,7 +48,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.cache = Tokenizer.from_file(path), {}
+        self.library, self.cache, self.stems = Tokenizer.from_file(path), {}, {}
         # Lower-case words of plain letters pass the normalizer and the splitter unchanged, so these can be left out for them.
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -67,19 +67,21 @@ class WordEncoder:
         return [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)]
 
     def _learn(self, words: set[bytes]) -> None:
-        cache, parts, rest = self.cache, {}, set()
+        cache, stems, parts, rest = self.cache, self.stems, {}, set()
+        if len(stems) > CACHE_STEMS:
+            stems.clear()
         for w in words:
             if len(w) <= CACHE_BYTES and (m := _PLAIN.fullmatch(w)):
                 parts[w] = (m[1].lower() if m[1].isascii() else m[1].decode("utf-8").lower().encode("utf-8"), m[2])
             else:
                 rest.add(w)
-        letters = list({x for x, _ in parts.values()}.difference(cache))
-        rest |= {x for _, x in parts.values() if x}.difference(cache)
-        for library, own, mark in ((self.letters, letters, ","), (self.library, list(rest), "\x01")):
+        letters = list({x for x, _ in parts.values()}.difference(stems))
+        marks = list({x for _, x in parts.values() if x}.difference(stems))
+        for library, own, mark, into in ((self.letters, letters, ",", stems), (self.library, marks, "\x01", stems), (self.library, list(rest), "\x01", cache)):
             for at in range(0, len(own), 4096):
-                cache.update(zip(own[at : at + 4096], self._many(library, own[at : at + 4096], mark), strict=True))
-        for w, (stem, marks) in parts.items():
-            cache[w] = cache[stem] + cache[marks] if marks else cache[stem]
+                into.update(zip(own[at : at + 4096], self._many(library, own[at : at + 4096], mark), strict=True))
+        for w, (stem, mark) in parts.items():
+            cache[w] = stems[stem] + stems[mark] if mark else stems[stem]
 
     def __call__(self, text: bytes) -> bytes:
         return b"".join(map(self._run, _runs(text)))
