@@ -1,0 +1,62 @@
+"""Dissolving a coverage: polygons of a class that share edges become one, without overlaying geometries.
+
+In a coverage neighbouring polygons have the same vertices along a shared edge, in opposite directions. So shared
+edges cancel in one grouped count, the edges that are left are the outlines, and connected polygons are found
+through shared edges as a link table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cellweave.geo import shapes
+from cellweave.operators.components import connected_components
+
+#: Coordinates are compared in units of a tenth of a millimetre.
+GRAIN = 1e-4
+
+
+def _edges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        out = []
+        for owner, kind, raw in zip(frame["owner"], frame["class"], frame["geom"], strict=True):
+            shape = shapes.read_wkb(raw)
+            for part in shape[1] if shape and shape[0] == shapes.POLYGON else []:
+                for k, ring in enumerate(part):
+                    own = np.round(ring / GRAIN).astype(np.int64)
+                    own = own[np.r_[True, (np.diff(own, axis=0) != 0).any(axis=1)]]
+                    if (shapes._ring_sum(own.astype(np.float64)) > 0) != (k == 0):
+                        own = own[::-1]
+                    out += [(owner, kind, *a, *b) for a, b in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)]
+        yield pd.DataFrame(out, columns=["owner", "class", "x1", "y1", "x2", "y2"])
+
+
+def _outline(frame: pd.DataFrame) -> pd.DataFrame:
+    merged = shapes.stitched(frame[["x1", "y1", "x2", "y2"]].to_numpy(np.float64) * GRAIN)
+    kind = frame["class"].iloc[0]
+    return pd.DataFrame({"class": [kind] * len(merged[1]), "geom": [shapes.write_wkb((shapes.POLYGON, [p])) for p in merged[1]]})
+
+
+def dissolve(polygons: DataFrame, owner: str, kind: str, geom: str) -> DataFrame:
+    """``class, geom``: the single polygons of each class after shared edges are gone.
+
+    ``owner`` identifies the rows. Each connected group of polygons is put together in one task: its outline is one
+    row of the result in any case.
+    """
+    slim = polygons.select(F.col(owner).alias("owner"), F.col(kind).alias("class"), F.col(geom).alias("geom")).where("geom is not null")
+    edges = slim.mapInPandas(_edges, slim.drop("geom").schema.add("x1", "long").add("y1", "long").add("x2", "long").add("y2", "long"))
+    forward = F.struct("x1", "y1") < F.struct("x2", "y2")
+    line = edges.withColumns({"a": F.when(forward, F.struct("x1", "y1")).otherwise(F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1"))), "b": F.when(forward, F.struct("x2", "y2")).otherwise(F.struct(F.col("x1").alias("x2"), F.col("y1").alias("y2"))), "way": F.when(forward, 1).otherwise(-1)})
+    met = line.groupBy("class", "a", "b").agg(F.sum("way").alias("way"), F.min("owner").alias("u"), F.max("owner").alias("v"))
+    parts = connected_components(met.where("u <> v"), "u", "v")
+    outline = met.where("way <> 0").join(parts, F.col("u") == F.col("node"), "left")
+    start, end = F.when(F.col("way") > 0, F.col("a.x1")).otherwise(F.col("b.x2")), F.when(F.col("way") > 0, F.col("b.x2")).otherwise(F.col("a.x1"))
+    start_y, end_y = F.when(F.col("way") > 0, F.col("a.y1")).otherwise(F.col("b.y2")), F.when(F.col("way") > 0, F.col("b.y2")).otherwise(F.col("a.y1"))
+    directed = outline.select("class", F.coalesce("component", "u").alias("group"), start.alias("x1"), start_y.alias("y1"), end.alias("x2"), end_y.alias("y2"))
+    schema = slim.select("class", "geom").schema
+    return directed.groupBy("class", "group").applyInPandas(_outline, schema)
