@@ -107,7 +107,7 @@ def st_to_lonlat(geom) -> Column:
 
 
 def st_point(x: Column, y: Column) -> Column:
-    """A point's WKB from JVM functions alone: the header and two little-endian doubles, through their bits."""
+    """A point's WKB; null if a coordinate is null."""
     return _point()(x, y)
 
 
@@ -121,6 +121,32 @@ def _point():
     return F.pandas_udf(point, "binary")
 
 
+def _shape_of(make):
+    def build(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([shapes.write_wkb(make(*row)) for row in zip(a, b, c, d, strict=True)], dtype=object)
+
+    return F.pandas_udf(build, "binary")
+
+
+@cache
+def _rectangle():
+    return _shape_of(lambda a, b, c, d: shapes.polygon([(a, b), (c, b), (c, d), (a, d)]))
+
+
+@cache
+def _line():
+    return _shape_of(lambda a, b, c, d: (shapes.LINE, [np.array([(a, b), (c, d)], np.float64)]))
+
+
+def st_rectangle(xmin, ymin, xmax, ymax) -> Column:
+    return _rectangle()(*[(F.col(c) if isinstance(c, str) else c).cast("double") for c in (xmin, ymin, xmax, ymax)])
+
+
+def st_line(x1, y1, x2, y2) -> Column:
+    """A straight line between two points."""
+    return _line()(x1, y1, x2, y2)
+
+
 def _hex(cells: np.ndarray) -> list:
     return [f"{c:x}" if c else None for c in cells.tolist()]
 

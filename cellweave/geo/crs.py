@@ -28,7 +28,7 @@ _NUMPY = SimpleNamespace(sin=np.sin, cos=np.cos, tan=np.tan, sqrt=np.sqrt, atan2
 class _Columns:
     """Values kept as further columns, so that no expression is repeated inside another."""
 
-    sin, cos, tan, sqrt, atan2 = F.sin, F.cos, F.tan, F.sqrt, F.atan2
+    sin, cos, tan, sqrt, atan2 = map(staticmethod, (F.sin, F.cos, F.tan, F.sqrt, F.atan2))
 
     def __init__(self, df: DataFrame):
         self.df, self.names = df, []
