@@ -6,7 +6,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.geo import crs, hexgrid, shapes
@@ -111,6 +111,29 @@ def st_point(x: Column, y: Column) -> Column:
     return _point()(x, y)
 
 
+@cache
+def _turned(forward: bool):
+    def turn(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        x, y = (crs.to_grid_np if forward else crs.to_lonlat_np)(a.to_numpy(np.float64), b.to_numpy(np.float64))
+        return pd.DataFrame({"a": x, "b": y}).replace(np.nan, None).astype(object)
+
+    turn.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(turn, "a double, b double")
+
+
+def with_grid(df: DataFrame, lon: str, lat: str, east: str, north: str) -> DataFrame:
+    """``df`` with easting and northing, by one Arrow UDF.
+
+    ``cellweave.geo.crs.with_grid`` does the same in generated code, but through some fifty named columns: below
+    filters and joins Spark's inference of constraints over these takes very long, so extracts use this form.
+    """
+    return df.withColumn("at_", _turned(True)(lon, lat)).withColumns({east: F.col("at_.a"), north: F.col("at_.b")}).drop("at_")
+
+
+def with_lonlat(df: DataFrame, east: str, north: str, lon: str, lat: str) -> DataFrame:
+    return df.withColumn("at_", _turned(False)(east, north)).withColumns({lon: F.col("at_.a"), lat: F.col("at_.b")}).drop("at_")
+
+
 @cache
 def _point():
     def point(x: pd.Series, y: pd.Series) -> pd.Series:

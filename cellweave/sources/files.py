@@ -35,8 +35,32 @@ def normalize_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalize_name(c) for c in df.columns])
 
 
+#: The encodings that Spark's CSV reader takes; files in others are decoded in tasks.
+SPARK_CHARSETS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
+
+
+def _text_csv(file, **options):
+    return pd.read_csv(file, dtype=str, keep_default_na=False, na_values=[""], **options)
+
+
+def _read_csv_in_tasks(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Whole files as text columns, a file a task at a time, named as the first file's header."""
+    found = spark.read.format("binaryFile").load(path).select("content")
+    names: list[str] = found.limit(1).rdd.map(lambda r: list(_text_csv(io.BytesIO(bytes(r["content"])), nrows=0, encoding=encoding).columns)).first()
+
+    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for raw in frame["content"]:
+                for part in _text_csv(io.BytesIO(raw), encoding=encoding, chunksize=20_000):
+                    yield part.reindex(columns=names)
+
+    return found.mapInPandas(parse, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+
+
 def read_csv_text(spark: SparkSession, path: str, encoding: str = "UTF-8", schema: T.StructType | None = None) -> DataFrame:
     """A CSV with a header; all columns text unless a schema is given. Quotes are doubled inside quotes; cells may hold line feeds."""
+    if encoding.lower() not in SPARK_CHARSETS:
+        return _read_csv_in_tasks(spark, path, encoding)
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("encoding", encoding)
     return (reader.schema(schema) if schema else reader).csv(path)
 
@@ -56,7 +80,7 @@ def read_zipped_csv(spark: SparkSession, archive: str, pattern: str) -> DataFram
                 with zipfile.ZipFile(io.BytesIO(raw)) as z:
                     for member in sorted(fnmatch.filter(z.namelist(), pattern)):
                         with z.open(member) as file:
-                            for part in pd.read_csv(file, dtype=str, keep_default_na=False, na_values=[""], chunksize=20_000):
+                            for part in _text_csv(file, chunksize=20_000):
                                 part.columns = [normalize_name(c) for c in part.columns]
                                 yield part.reindex(columns=names)
 

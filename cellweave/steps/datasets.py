@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.functions import spatial as S
-from cellweave.geo import crs
 from cellweave.operators import relational as R
 from cellweave.operators.dissolve import dissolve
 from cellweave.operators.isochrone import graph_edges, graph_nodes, isochrones
@@ -60,7 +59,7 @@ SCORES = ("income", "employment", "est", "hdd", "crime", "bhs", "le")
 
 def _points(df: DataFrame, lon: str, lat: str) -> DataFrame:
     """Grid geometry and the cell id at resolution 9 for points in degrees."""
-    placed = crs.with_grid(df, lon, lat, "x_", "y_")
+    placed = S.with_grid(df, lon, lat, "x_", "y_")
     return placed.withColumns({"geom": S.st_point(F.col("x_"), F.col("y_")), "h3_9_id": S.cell_of(lat, lon, 9)}).drop("x_", "y_")
 
 
@@ -68,7 +67,7 @@ def crime(ctx: Context) -> DataFrame:
     """Monthly street files in one archive; points without coordinates keep a null geometry."""
     df = files.read_zipped_csv(ctx.spark, ctx.source("crime"), "????-??/*-street.csv")
     df = df.withColumns({c: R.numeric_text(c) for c in ("longitude", "latitude")})
-    return crs.with_grid(df, "longitude", "latitude", "x_", "y_").withColumn("geom", S.st_point(F.col("x_"), F.col("y_"))).drop("x_", "y_")
+    return S.with_grid(df, "longitude", "latitude", "x_", "y_").withColumn("geom", S.st_point(F.col("x_"), F.col("y_"))).drop("x_", "y_")
 
 
 def boundaries(name: str, code: str) -> Callable[[Context], DataFrame]:
@@ -97,7 +96,7 @@ def buildings(ctx: Context) -> DataFrame:
     keep = ["verisk_premise_id", "premise_use", "premise_type", "uprn", "toid", "map_use", "map_simple_use"]
     once = R.distinct_on(files.read_geopackages(ctx.spark, ctx.source("buildings").split(",")).select(*keep, "geom"), ["verisk_premise_id"])
     x, y = S.st_centroid("geom")
-    placed = crs.with_lonlat(once.withColumns({"x_": x, "y_": y}), "x_", "y_", "lon_", "lat_").withColumn("h3_9_id", S.cell_of("lat_", "lon_", 9))
+    placed = S.with_lonlat(once.withColumns({"x_": x, "y_": y}), "x_", "y_", "lon_", "lat_").withColumn("h3_9_id", S.cell_of("lat_", "lon_", 9))
     areas = ctx.extract("oa21").select(F.col("spatial_id").alias("oa21cd"), F.col("geom").alias("area_geom"))
     return containing(placed, areas, "verisk_premise_id", "x_", "y_", "area_geom", "oa21cd").select(*keep, "oa21cd", "h3_9_id", "geom")
 
@@ -139,7 +138,7 @@ def naptan(ctx: Context) -> DataFrame:
     kept = raw.where((F.col("Status") == "active") & (R.numeric_text("Easting") > 0) & (R.numeric_text("Northing") > 0))
     names = {"ATCOCode": "atco_code", "NaptanCode": "naptan_code", "CommonName": "name", "Street": "street", "Indicator": "indicator", "Bearing": "bearing", "LocalityName": "locality_name", "Town": "town", "StopType": "stop_type"}
     flat = kept.select(*[F.col(a).alias(b) for a, b in names.items()], R.category(F.col("StopType"), STOP_TYPES, "other").alias("stop_category"), R.numeric_text("Easting").alias("x_"), R.numeric_text("Northing").alias("y_"))
-    return crs.with_lonlat(flat, "x_", "y_", "lon_", "lat_").withColumns({"geom": S.st_point(F.col("x_"), F.col("y_")), "h3_9_id": S.cell_of("lat_", "lon_", 9)}).drop("x_", "y_", "lon_", "lat_")
+    return S.with_lonlat(flat, "x_", "y_", "lon_", "lat_").withColumns({"geom": S.st_point(F.col("x_"), F.col("y_")), "h3_9_id": S.cell_of("lat_", "lon_", 9)}).drop("x_", "y_", "lon_", "lat_")
 
 
 def food_outlets(ctx: Context) -> DataFrame:
@@ -158,7 +157,7 @@ def schools(ctx: Context) -> DataFrame:
     """Open schools with cells at four resolutions and their walk catchment over the road network."""
     raw = files.normalize_names(files.read_csv_text(ctx.spark, ctx.source("schools"), "windows-1252"))
     kept = raw.withColumns({"x_": R.numeric_text("easting"), "y_": R.numeric_text("northing")}).where(F.col("establishmentstatus_code").try_cast("int").isin(1, 3) & (F.col("x_") > 0) & (F.col("y_") > 0))
-    placed = crs.with_lonlat(kept, "x_", "y_", "lon_", "lat_")
+    placed = S.with_lonlat(kept, "x_", "y_", "lon_", "lat_")
     cells = {f"h3_{r}_id": S.cell_of("lat_", "lon_", r) for r in (8, 9, 10, 11)}
     out = placed.withColumns(cells | {"geom": S.st_point(F.col("x_"), F.col("y_"))})
     roads = ctx.extract("open_roads")
@@ -183,7 +182,7 @@ def wales_scores(sheet: DataFrame, lads: DataFrame | None) -> DataFrame:
     parts = {"Income": "income", "Employment": "employment", "Education": "est", "Health": "hdd", "Community Safety": "crime", "Physical Environment": "le"}
     named = sheet.select(F.col("`LSOA code`").alias("spatial_id"), F.col("`Local Authority name`").alias("lad24nm"), F.col("`WIMD 2025`").alias("imd_score"), *[F.col(f"`{a}`").alias(b) for a, b in parts.items()], ((F.col("`Access to Services`") + F.col("Housing")) / 2).alias("bhs"))
     checked = named.withColumn("imd_score", F.when(F.col("imd_score").isNotNull(), F.col("imd_score")).otherwise(F.raise_error(F.lit("a Welsh area has no score"))))
-    ranked = checked.withColumn("imd_rank", R.min_rank_desc("imd_score", ["country"])) if "country" in checked.columns else checked.withColumn("country", F.lit("W")).withColumn("imd_rank", R.min_rank_desc("imd_score", ["country"]))
+    ranked = checked.withColumn("country", F.lit("W")).withColumn("imd_rank", R.min_rank_desc("imd_score", ["country"]))
     coded = R.code_by_name(ranked, lads.select("lad24nm", F.col("spatial_id").alias("lad24cd")), "lad24nm", "lad24cd") if lads is not None else ranked.withColumn("lad24cd", F.lit(None).cast("string"))
     return coded.select("spatial_id", "lad24cd", "lad24nm", "imd_score", "imd_rank", *SCORES, "country")
 
