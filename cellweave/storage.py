@@ -29,14 +29,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIRS[app]
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read again.
 
     The lineage ends there, so a lost executor costs no recomputation of what came before.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
