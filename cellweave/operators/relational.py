@@ -81,11 +81,11 @@ def min_rank_desc(value: str, within: Sequence[str]) -> Column:
 def decode_hierarchy(codes: DataFrame, code: str, level: str, name: str) -> DataFrame:
     """``code, subgroup_name, group_name, supergroup_name`` for three-level codes such as ``1a1``.
 
-    Levels are ``sub``, ``g`` and ``sg``; a group's code is the first two characters, a supergroup's the first; a
+    Levels are ``subg``, ``g`` and ``sg``; a group's code is the first two characters, a supergroup's the first; a
     missing parent gives null. The code list is a dimension of a few dozen rows.
     """
     tidy = codes.select(trimmed(F.col(code)).alias("code"), trimmed(F.col(level)).alias("level"), trimmed(F.col(name)).alias("name"))
-    subs = tidy.where("level = 'sub'").select("code", F.col("name").alias("subgroup_name"))
+    subs = tidy.where("level = 'subg'").select("code", F.col("name").alias("subgroup_name"))
     groups = tidy.where("level = 'g'").select(F.col("code").alias("g"), F.col("name").alias("group_name"))
     supers = tidy.where("level = 'sg'").select(F.col("code").alias("sg"), F.col("name").alias("supergroup_name"))
     found = subs.join(groups, F.left("code", F.lit(2)) == F.col("g"), "left").join(supers, F.left("code", F.lit(1)) == F.col("sg"), "left")

@@ -171,7 +171,7 @@ def hierarchy_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     letter = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("p_partkey") % 3 + 1).cast("int"))
     subs = read_table(spark, sf_dir, "part").select(F.concat((F.col("p_size") % 9 + 1).cast("string"), letter, (F.col("p_partkey") % 4 + 1).cast("string")).alias("code")).distinct()
     level = lambda n, name, label: subs.select(F.left("code", F.lit(n)).alias("c")).distinct().select(F.concat(F.lit(" "), "c", F.lit(" ")).alias("code"), F.lit(f"{name} ").alias("level"), F.concat(F.lit(f"{label} "), "c", F.lit("  ")).alias("name"))
-    codes = level(3, "sub", "sub").union(level(2, "g", "group").where(R.trimmed(F.col("code")) != "2b")).union(level(1, "sg", "super"))
+    codes = level(3, "subg", "sub").union(level(2, "g", "group").where(R.trimmed(F.col("code")) != "2b")).union(level(1, "sg", "super"))
     return R.decode_hierarchy(codes, "code", "level", "name")
 
 
@@ -386,7 +386,7 @@ def _place_relations(spark: SparkSession, sf_dir: str):
     e, u = _events(spark, sf_dir), F.col("user_id")
     crimes = e.select(F.when(F.col("px").isNotNull(), F.lit(-1.6) + u * 7919 % 1000 / F.lit(8000.0)).alias("longitude"), F.when(F.col("py").isNotNull(), F.lit(53.75) + u * 104729 % 1000 / F.lit(12000.0)).alias("latitude"), F.when(F.col("force") == "transport", "British Transport Police").otherwise(F.col("force")).alias("falls_within"), F.col("event_type").alias("crime_type"), F.date_format("ts", "yyyy-MM").alias("_month"))
     found = {"crime_data": crimes}
-    for table, size in (("pfa23", 40000), ("lad24", 9000), ("msoa21", 3000), ("lsoa21", 1500), ("oa21", 700)):
+    for table, size in (("police_force_areas", 40000), ("local_authority_districts", 9000), ("msoa_2021", 3000), ("lsoa_2021", 1500), ("output_areas_2021", 700)):
         n = 22000 // size + 2
         x, y = F.col("id") % n * size + 418000, F.floor(F.col("id") / n) * size + 425000
         found[table] = spark.range(n * n).select(F.concat(F.lit(table[0].upper()), F.lpad(F.col("id").cast("string"), 8, "0")).alias("spatial_id"), S.st_rectangle(x, y, x + size, y + size).alias("geom"))

@@ -154,8 +154,8 @@ def run_steps(spark: SparkSession, steps: Sequence[Step], extracts: Path, folder
 
 def bundle_tables(resolutions: Sequence[int] = RESOLUTIONS, include: Sequence[str] = ()) -> tuple[list[str], list[str]]:
     """(required, optional) relations of the minimal bundle; what is included by name is required."""
-    core = [f"crime_counts_h3_{r}" for r in resolutions] + [f"h3_{r}_geogs" for r in resolutions] + ["pfa23", "lad24", "msoa21", "lsoa21", "oa21"]
-    features = ["retail_centres", "poi", "naptan", "food_outlets", "cctv", "schools", "imd_scores_pct", "oac", "oac_classification", "streetlight_counts_h3_9", "building_counts_h3_9"]
+    core = [f"crime_counts_h3_{r}" for r in resolutions] + [f"h3_{r}_geogs" for r in resolutions] + ["police_force_areas", "local_authority_districts", "msoa_2021", "lsoa_2021", "output_areas_2021"]
+    features = ["schools", "poi", "naptan", "food_outlets", "cctv", "imd_scores_pct", "land_cover", "oac", "oac_classification", "streetlight_counts_h3_9", "building_counts_h3_9"]
     return [*core, *(n for n in include if n not in core)], [n for n in features if n not in include]
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,13 +41,46 @@ class Dataset:
 
 #: The stop types of the national stop register by category.
 STOP_TYPES = {
-    "BCT": "bus", "BCS": "bus", "BCE": "bus", "BST": "bus", "BCQ": "bus", "BCP": "bus",
-    "RLY": "rail", "RSE": "rail", "RPL": "rail",
-    "MET": "tram_metro", "TMU": "tram_metro", "PLT": "tram_metro",
-    "FER": "ferry", "FTD": "ferry", "FBT": "ferry",
-    "AIR": "air", "GAT": "air",
-    "TXR": "taxi", "STR": "taxi",
-}
+    "BCT": "bus",
+    "BCS": "bus",
+    "BCQ": "bus",
+    "BCE": "bus",
+    "BST": "bus",
+    "MKD": "bus",
+    "RLY": "rail",
+    "RPL": "rail",
+    "RSE": "rail",
+    "MET": "tram_metro",
+    "PLT": "tram_metro",
+    "TMU": "tram_metro",
+    "FER": "ferry",
+    "FBT": "ferry",
+    "FTD": "ferry",
+    "TXR": "taxi",
+    "STR": "taxi",
+    "AIR": "air",
+    "GAT": "air",
+}
+#: England and Wales in degrees, the wanted basic categories of places, and the food outlets' business types.
+BOX = (-5.86, 49.75, 1.81, 56.0)
+PLACE_CATEGORIES = (
+    "adult_entertainment_venue",
+    "alcoholic_beverage_venue",
+    "atm",
+    "bar",
+    "casino",
+    "casual_eatery",
+    "emergency_department",
+    "fast_food_restaurant",
+    "food_service",
+    "hospital",
+    "inn",
+    "lounge",
+    "parking",
+    "police station",
+    "restaurant",
+)
+BUSINESS_TYPES = ("1", "7844", "7843", "7841", "7846", "7842")
 #: The columns of England's deprivation file, and of Wales's sheet, by the output's names.
 ENGLAND = {
     "LSOA code (2021)": "spatial_id", "Local Authority District code (2024)": "lad24cd", "Local Authority District name (2024)": "lad24nm",
@@ -65,7 +99,7 @@ def _points(df: DataFrame, lon: str, lat: str) -> DataFrame:
 
 def crime(ctx: Context) -> DataFrame:
     """Monthly street files in one archive; points without coordinates keep a null geometry."""
-    df = files.read_zipped_csv(ctx.spark, ctx.source("crime"), "????-??/*-street.csv")
+    df = files.read_zipped_csv(ctx.spark, ctx.source("crime_data"), "????-??/*-street.csv")
     df = df.withColumns({c: R.numeric_text(c) for c in ("longitude", "latitude")})
     return S.with_grid(df, "longitude", "latitude", "x_", "y_").withColumn("geom", S.st_point(F.col("x_"), F.col("y_"))).drop("x_", "y_")
 
@@ -97,7 +131,7 @@ def buildings(ctx: Context) -> DataFrame:
     once = R.distinct_on(files.read_geopackages(ctx.spark, ctx.source("buildings").split(",")).select(*keep, "geom"), ["verisk_premise_id"])
     x, y = S.st_centroid("geom")
     placed = S.with_lonlat(once.withColumns({"x_": x, "y_": y}), "x_", "y_", "lon_", "lat_").withColumn("h3_9_id", S.cell_of("lat_", "lon_", 9))
-    areas = ctx.extract("oa21").select(F.col("spatial_id").alias("oa21cd"), F.col("geom").alias("area_geom"))
+    areas = ctx.extract("output_areas_2021").select(F.col("spatial_id").alias("oa21cd"), F.col("geom").alias("area_geom"))
     return containing(placed, areas, "verisk_premise_id", "x_", "y_", "area_geom", "oa21cd").select(*keep, "oa21cd", "h3_9_id", "geom")
 
 
@@ -112,17 +146,16 @@ def open_roads(ctx: Context) -> DataFrame:
 
 
 def poi(ctx: Context) -> DataFrame:
-    """Places of the wanted primary categories, from nested records with the point as WKB in degrees."""
-    raw = files.read_places(ctx.spark, ctx.source("poi"), ctx.options.get("box"))
-    wanted = ctx.options.get("categories")
-    raw = raw if wanted is None else raw.where(F.col("categories.primary").isin(*wanted))
+    """Places of the wanted basic categories, from nested records with the point as WKB in degrees."""
+    raw = files.read_places(ctx.spark, ctx.source("poi"), ctx.options.get("box", BOX))
+    raw = raw.where(F.col("basic_category").isin(*ctx.options.get("categories", PLACE_CATEGORIES)))
     c = S.st_centroid("geometry")
     flat = raw.select(F.col("id").alias("poi_id"), c[0].alias("lon_"), c[1].alias("lat_"), F.col("names.primary").alias("name"), R.first_of_list("addresses", "postcode").alias("postcode"), "basic_category", F.col("categories.primary").alias("primary_category"), F.col("categories.alternate").alias("alternate_category"))
     return _points(flat, "lon_", "lat_").select("poi_id", "geom", "h3_9_id", "name", "postcode", "basic_category", "primary_category", "alternate_category")
 
 
 def streetlights(ctx: Context) -> DataFrame:
-    raw = files.read_places(ctx.spark, ctx.source("streetlights"), ctx.options.get("box")).where((F.col("subtype") == "street_furniture") & (F.col("class") == "street_lamp"))
+    raw = files.read_places(ctx.spark, ctx.source("streetlights"), ctx.options.get("box", BOX)).where((F.col("subtype") == "transportation") & (F.col("class") == "street_lamp"))
     c = S.st_centroid("geometry")
     return _points(raw.select(F.col("id").alias("streetlight_id"), c[0].alias("lon_"), c[1].alias("lat_")), "lon_", "lat_").select("streetlight_id", "geom", "h3_9_id")
 
@@ -144,7 +177,7 @@ def naptan(ctx: Context) -> DataFrame:
 def food_outlets(ctx: Context) -> DataFrame:
     """Rated outlets of the wanted business types outside Northern Ireland that have coordinates."""
     raw = files.read_csv_text(ctx.spark, ctx.source("food_outlets"))
-    types = ctx.options.get("business_types", ["1", "7843", "7844"])
+    types = ctx.options.get("business_types", BUSINESS_TYPES)
     kept = raw.where(F.col("BusinessTypeID").isin(*types) & (F.col("SchemeType") == "FHRS") & R.without_prefix("PostCode", "BT") & R.numeric_text("Longitude").isNotNull() & R.numeric_text("Latitude").isNotNull())
     flat = kept.select(F.col("FHRSID").try_cast("long").alias("fhrsid"), F.col("BusinessName").alias("business_name"), F.col("BusinessType").alias("business_type"), F.col("PostCode").alias("postcode"), F.col("RatingValue").alias("rating_value"), F.col("LocalAuthorityName").alias("local_authority_name"), R.numeric_text("Longitude").alias("lon_"), R.numeric_text("Latitude").alias("lat_"))
     return _points(flat, "lon_", "lat_").drop("lon_", "lat_")
@@ -167,43 +200,48 @@ def schools(ctx: Context) -> DataFrame:
 
 
 def imd(ctx: Context) -> DataFrame:
-    """Deprivation percentiles within each country; Wales's own index is turned to the same columns."""
+    """Deprivation percentiles within each country; Wales's own index is turned to the same columns.
+
+    Where Wales's sheet can't be had or lacks a score, England stands alone.
+    """
     raw = files.read_csv_text(ctx.spark, ctx.source("imd_england"))
     england = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in ENGLAND.items()]).withColumns({c: R.numeric_text(c) for c in ("imd_score", *SCORES)}).withColumn("imd_rank", R.numeric_text("imd_rank").cast("long"))
     both = england.withColumn("country", F.lit("E"))
-    if ctx.options.get("wales", True):
-        both = both.unionByName(wales_scores(files.read_ods(ctx.spark, ctx.source("imd_wales"), "Data", 3), ctx.extract("lad24") if ctx.extract else None))
+    try:
+        sheet = files.read_ods(ctx.spark, ctx.source("imd_wales"), "Data", 3)
+        if sheet.where("`WIMD 2025` is null").isEmpty():
+            both = both.unionByName(wales_scores(sheet, ctx.extract("local_authority_districts") if ctx.extract else None))
+    except (KeyError, ValueError, PySparkException) as missing:
+        print(f"Wales left out: {missing}")
     ranked = both.withColumns({f"{c}_": R.pct_rank(c, ["country"]) for c in ("imd_score", *SCORES)})
     return ranked.select("spatial_id", "lad24cd", "lad24nm", F.col("imd_score_").alias("imd_score"), "imd_rank", *[F.col(f"{c}_").alias(c) for c in SCORES])
 
 
 def wales_scores(sheet: DataFrame, lads: DataFrame | None) -> DataFrame:
-    """Wales's sheet in England's columns: rank 1 is the most deprived; housing and access make one score. A null score is an error."""
+    """Wales's sheet in England's columns: rank 1 is the most deprived; housing and access make one score."""
     parts = {"Income": "income", "Employment": "employment", "Education": "est", "Health": "hdd", "Community Safety": "crime", "Physical Environment": "le"}
     named = sheet.select(F.col("`LSOA code`").alias("spatial_id"), F.col("`Local Authority name`").alias("lad24nm"), F.col("`WIMD 2025`").alias("imd_score"), *[F.col(f"`{a}`").alias(b) for a, b in parts.items()], ((F.col("`Access to Services`") + F.col("Housing")) / 2).alias("bhs"))
-    checked = named.withColumn("imd_score", F.when(F.col("imd_score").isNotNull(), F.col("imd_score")).otherwise(F.raise_error(F.lit("a Welsh area has no score"))))
-    ranked = checked.withColumn("country", F.lit("W")).withColumn("imd_rank", R.min_rank_desc("imd_score", ["country"]))
+    ranked = named.withColumn("country", F.lit("W")).withColumn("imd_rank", R.min_rank_desc("imd_score", ["country"]))
     coded = R.code_by_name(ranked, lads.select("lad24nm", F.col("spatial_id").alias("lad24cd")), "lad24nm", "lad24cd") if lads is not None else ranked.withColumn("lad24cd", F.lit(None).cast("string"))
     return coded.select("spatial_id", "lad24cd", "lad24nm", "imd_score", "imd_rank", *SCORES, "country")
 
 
 def oac(ctx: Context) -> DataFrame:
     raw = files.read_csv_text(ctx.spark, ctx.source("oac"))
-    first, second = raw.columns[:2]
-    return raw.select(R.trimmed(F.col(f"`{first}`")).alias("spatial_id"), R.trimmed(F.col(f"`{second}`")).alias("code"))
+    return raw.select(R.trimmed(F.col("oa21cd")).alias("spatial_id"), R.trimmed(F.col("subgroup")).alias("code"))
 
 
 def oac_classification(ctx: Context) -> DataFrame:
     raw = files.read_csv_text(ctx.spark, ctx.source("oac_classification"))
-    return R.decode_hierarchy(raw.select(F.col("`Code`").alias("c"), F.col("`Level Code`").alias("l"), F.col("`Name`").alias("n")), "c", "l", "n").orderBy("code")
+    return R.decode_hierarchy(raw.select(F.col("`Classification Code`").alias("c"), F.col("`Level Code`").alias("l"), F.col("`Classification Name`").alias("n")), "c", "l", "n").orderBy("code")
 
 
 DATASETS = (
-    Dataset("crime", "crime_data", crime, optional=False),
-    *[Dataset(t, t, boundaries(t, c), optional=False) for t, c in (("pfa23", "PFA23CD"), ("lad24", "LAD24CD"), ("msoa21", "MSOA21CD"), ("lsoa21", "LSOA21CD"), ("oa21", "OA21CD"))],
-    Dataset("greenspace", "open_greenspace", greenspace),
+    Dataset("crime_data", "crime_data", crime, optional=False),
+    *[Dataset(t, t, boundaries(t, c), optional=False) for t, c in (("police_force_areas", "PFA23CD"), ("local_authority_districts", "LAD24CD"), ("msoa_2021", "MSOA21CD"), ("lsoa_2021", "LSOA21CD"), ("output_areas_2021", "OA21CD"))],
+    Dataset("open_greenspace", "open_greenspace", greenspace),
     Dataset("land_cover", "land_cover", land_cover),
-    Dataset("buildings", "buildings", buildings, depends_on=("oa21",)),
+    Dataset("buildings", "buildings", buildings, depends_on=("output_areas_2021",)),
     Dataset("retail_centres", "retail_centres", retail_centres),
     Dataset("open_roads", "open_roads", open_roads),
     Dataset("poi", "poi", poi),
@@ -212,7 +250,7 @@ DATASETS = (
     Dataset("streetlights", "streetlights", streetlights),
     Dataset("cctv", "cctv", cctv),
     Dataset("schools", "schools", schools, depends_on=("open_roads",)),
-    Dataset("imd", "imd_scores_pct", imd, geometry=False, depends_on=("lad24",)),
+    Dataset("imd_scores_pct", "imd_scores_pct", imd, geometry=False, depends_on=("local_authority_districts",)),
     Dataset("oac", "oac", oac, geometry=False),
     Dataset("oac_classification", "oac_classification", oac_classification, geometry=False),
 )

@@ -14,7 +14,7 @@ from cellweave.operators.spatial_join import best_overlap, intersecting, nearest
 from cellweave.steps.base import Relations, Step
 
 #: Relation of boundaries by the name of its code column, in the order of the wide table's columns.
-GEOGRAPHIES = {"pfa23cd": "pfa23", "lad24cd": "lad24", "msoa21cd": "msoa21", "lsoa21cd": "lsoa21", "oa21cd": "oa21"}
+GEOGRAPHIES = {"pfa23cd": "police_force_areas", "lad24cd": "local_authority_districts", "msoa21cd": "msoa_2021", "lsoa21cd": "lsoa_2021", "oa21cd": "output_areas_2021"}
 EXCLUDED_FORCE = "British Transport Police"
 CENTRES, CENTRE_RADIUS = "retail_centres", 2000.0
 

@@ -24,7 +24,7 @@ def test_null_force_and_null_place_are_dropped(spark):
 
 
 def test_hierarchy_with_padding_and_missing_parents(spark):
-    rows = [("1 ", " sg", "One "), ("1a", "g", " Group "), ("1a1", "sub", "Sub"), ("2b1", "sub", "Orphan")]
+    rows = [("1 ", " sg", "One "), ("1a", "g", " Group "), ("1a1", "subg", "Sub"), ("2b1", "subg", "Orphan")]
     got = {tuple(r) for r in R.decode_hierarchy(spark.createDataFrame(rows, "c string, l string, n string"), "c", "l", "n").collect()}
     assert got == {("1a1", "Sub", "Group", "One"), ("2b1", "Orphan", None, None)}
 

@@ -55,7 +55,7 @@ def shapefile(rows: list[tuple[str, str, list]]) -> dict[str, bytes]:
 def test_crime_archive(spark, tmp_path):
     head = "Crime ID,Month,Falls within,Longitude,Latitude,Crime type\n"
     path = zipped(tmp_path / "crime.zip", {"2024-01/2024-01-x-street.csv": (head + 'a,2024-01,"County, one",-1.5,53.8,Theft\nb,2024-01,,,,Theft\n').encode(), "2024-02/2024-02-x-street.csv": (head + "c,2024-02,British Transport Police,-1.5,53.8,Drugs\n").encode(), "2024-02/2024-02-x-outcomes.csv": b"x\n1\n"})
-    rows = {r.crime_id: r for r in D.crime(ctx(spark, {"crime": path})).collect()}
+    rows = {r.crime_id: r for r in D.crime(ctx(spark, {"crime_data": path})).collect()}
     assert rows.keys() == {"a", "b", "c"} and rows["a"].falls_within == "County, one" and rows["a"]._month == "2024-01"
     assert rows["b"].geom is None and rows["b"].falls_within is None
     x, y = shapes.vertices(shapes.read_wkb(bytes(rows["a"].geom)))[0]
@@ -84,7 +84,7 @@ def test_roads_layer_and_boundaries(spark, tmp_path):
     roads = geopackage(tmp_path / "r.gpkg", "road_link", "id TEXT, road_function TEXT", [("R1", "Local Road", line), ("R2", "A Road", line)])
     assert D.open_roads(ctx(spark, {"open_roads": roads})).columns == ["id", "road_function", "geom"]
     areas = geopackage(tmp_path / "b.gpkg", "b", "OA21CD TEXT, FID INTEGER", [("E1", 1, rect(0, 0, 1, 1))])
-    got = D.boundaries("oa21", "OA21CD")(ctx(spark, {"oa21": areas})).first()
+    got = D.boundaries("output_areas_2021", "OA21CD")(ctx(spark, {"output_areas_2021": areas})).first()
     assert got.spatial_id == "E1" and got.FID == 1
 
 
@@ -139,9 +139,9 @@ def test_places_and_street_lights(spark, tmp_path):
     at = bytearray(shapes.write_wkb((shapes.POINT, np.array([[-1.5, 53.8]]))))
     schema = "id string, geometry binary, names struct<primary: string>, addresses array<struct<postcode: string>>, basic_category string, categories struct<primary: string, alternate: array<string>>, subtype string, class string, bbox struct<xmin: double, xmax: double, ymin: double, ymax: double>"
     box = (-1.5, -1.5, 53.8, 53.8)
-    rows = [("a", at, ("Inn",), [("LS1",)], "bar", ("pub", ["bar"]), "street_furniture", "street_lamp", box), ("b", at, ("Kiosk",), [], "shop", ("kiosk", None), "x", "y", box), ("c", at, ("Far",), None, "bar", ("pub", None), "x", "y", (9.0, 9.0, 9.0, 9.0))]
+    rows = [("a", at, ("Inn",), [("LS1",)], "bar", ("pub", ["bar"]), "transportation", "street_lamp", box), ("b", at, ("Kiosk",), [], "inn", ("kiosk", None), "x", "y", box), ("c", at, ("Far",), None, "bar", ("pub", None), "x", "y", (9.0, 9.0, 9.0, 9.0))]
     spark.createDataFrame(rows, schema).write.parquet(f"file://{tmp_path}/p")
-    c = ctx(spark, {"poi": tmp_path / "p", "streetlights": tmp_path / "p"}, box=(-6, 49, 2, 60), categories=["pub", "kiosk"])
+    c = ctx(spark, {"poi": tmp_path / "p", "streetlights": tmp_path / "p"}, box=(-6, 49, 2, 60))
     got = {r.poi_id: r for r in D.poi(c).collect()}
     assert got.keys() == {"a", "b"} and got["a"].postcode == "LS1" and got["b"].postcode is None and got["a"].alternate_category == ["bar"]
     assert [r.streetlight_id for r in D.streetlights(c).collect()] == ["a"]
@@ -160,17 +160,17 @@ def test_deprivation(spark, tmp_path):
     names = ["LSOA code", "LSOA name ", "Local Authority name", "WIMD 2025", "Income", "Employment", "Education", "Health", "Community Safety", "Physical Environment", "Access to Services", "Housing"]
     wales = zipped(tmp_path / "w.ods", {"content.xml": ods([["t"], [None], ["x"], names] + [[f"W{k}", "n", "Cardiff" if k < 3 else "Swansea", 10.0 * k] + [float(k)] * 8 for k in (1, 2, 3)])})
     lads = spark.createDataFrame([("W06000015", "Cardiff"), ("W06000011", "Swansea")], "spatial_id string, lad24nm string")
-    c = ctx(spark, {"imd_england": england, "imd_wales": wales}, {"lad24": lads})
+    c = ctx(spark, {"imd_england": england, "imd_wales": wales}, {"local_authority_districts": lads})
     got = {r.spatial_id: r for r in D.imd(c).collect()}
     assert [got[f"E{k}"].imd_score for k in range(3)] == [1 / 3, 2 / 3, 1.0] and [got[f"E{k}"].imd_rank for k in range(3)] == [100, 50, 10]
     assert got["W3"].imd_score == 1.0 and got["W3"].imd_rank == 1 and got["W3"].bhs == 1.0 and got["W1"].lad24cd == "W06000015" and got["W3"].lad24cd == "W06000011"
-    assert D.imd(ctx(spark, {"imd_england": england}, None, wales=False)).count() == 3
+    assert D.imd(ctx(spark, {"imd_england": england}, None)).count() == 3
 
 
 def test_area_classification(spark, tmp_path):
     path, looks = tmp_path / "o.csv", tmp_path / "c.csv"
     path.write_text("oa21cd,subgroup\n E1 ,1a1 \n")
-    looks.write_text('"Code","Level Code","Name"\n1,sg,One\n1a,g, G \n1a1,sub,S\n')
+    looks.write_text('"Classification Code","Level Code","Classification Name"\n1,sg,One\n1a,g, G \n1a1,subg,S\n')
     c = ctx(spark, {"oac": path, "oac_classification": looks})
     assert tuple(D.oac(c).first()) == ("E1", "1a1") and tuple(D.oac_classification(c).first()) == ("1a1", "S", "G", "One")
 
