@@ -155,10 +155,14 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 lower-case hex digits) and ``component_id`` (the smallest id of the group), a row per document."""
-    groups = simhash_groups(docs, id_col, text_col, distance)
-    least = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    fps = written(fingerprints(docs, id_col, text_col), "fingerprints")
+    parts = connected_components(near_links(fps, distance))
+    # Groups are named on distinct fingerprints; documents, of which a third may share one, join on these alone.
+    lows = fps.groupBy("fp").agg(F.min("doc_id").alias("low")).join(parts, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("group"))
+    least = lows.groupBy("group").agg(F.min("low").alias("component_id"))
+    named = lows.join(least, "group").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return groups.join(least, "group").select("doc_id", hexed, "component_id")
+    return fps.join(named, "fp").select("doc_id", hexed, "component_id")
 
 
 def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4) -> DataFrame:
