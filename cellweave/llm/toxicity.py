@@ -38,12 +38,15 @@ PATTERNS = {
 #: Labelled rows the model is fitted on, at most: those with the least hashes.
 TRAIN_ROWS = 20_000
 MINED_TERMS, CLASSIFIER_TERMS = 240, 20_000
+#: Bytes of a word's beginning that is a term of its own, for insults that the sample lacks but resemble others.
+STEM = 7
 _LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(0x100))
 
 
 def terms(text: str) -> set[bytes]:
-    """The distinct runs of letters, in lower case; all non-ASCII characters count as letters."""
-    return set(text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split())
+    """The distinct runs of letters, in lower case, and the beginnings of long ones; all non-ASCII characters count as letters."""
+    words = set(text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split())
+    return words | {b"^" + w[:STEM] for w in words if len(w) > STEM}
 
 
 def _codes(words: set[bytes]) -> np.ndarray:
