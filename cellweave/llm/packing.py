@@ -8,7 +8,6 @@ each gets its rank among the pieces of its length, and ranges of ranks are mappe
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from bisect import bisect_left, insort
@@ -25,15 +24,37 @@ from pyspark.sql import functions as F
 from cellweave.llm.common import read_table, text_of, written
 
 CAPACITY = 2048
-#: Words as they stand, and words without case and marks, whose ids a worker remembers; longer words are encoded each time.
-CACHE_WORDS, CACHE_STEMS, CACHE_BYTES = 1 << 19, 5 << 18, 48
+#: Words whose ids a worker remembers; longer words are encoded each time.
+CACHE_WORDS, CACHE_BYTES = 3 << 17, 32
 #: Bytes of text cut into words at once.
-_AT_ONCE = 1 << 22
+_AT_ONCE = 1 << 20
 _SPACE = b" \t\n\r\x0b\x0c"
 
 
-#: ASCII or Latin-1 letters and after them ASCII punctuation without the apostrophe: the tokenizer splits between the two.
-_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)?")
+#: Runs of ASCII punctuation but apostrophes that stand between letters, digits and spaces: the tokenizer splits there.
+_MARKS = re.compile(rb"(?<![\x00-\x08\x0e-\x1f!-/:-@\[-`{-~\x7f])(?:(?<![\x80-\xff])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))[!-&(-/:-@\[-`{-~]++(?![\x00-\x08\x0e-\x1f'\x7f])(?:(?![\x80-\xff])|(?=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))")
+#: Lower-case words of ASCII and Latin-1 letters.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
+_LETTERS = bytes(b for b in range(0x80) if chr(b).isalnum()) + _SPACE
+_ASCII = bytes(range(0x80))
+#: Control characters and the apostrophe, and two marks in a row, take the general pattern.
+_DELICATE = set(range(0x20)) | {0x27, 0x7F}
+_TWO_MARKS = re.compile(rb"[!-/:-@\[-`{-~]{2}")
+
+
+def _marks_apart(run: bytes) -> bytes:
+    """The text with ASCII letters in lower case and spaces around the marks that ``_MARKS`` finds."""
+    low = run.lower()
+    rest = low.translate(None, _LETTERS)
+    marks, latin = {m for m in set(rest) if m < 0x80}, low.count(b"\xc3")
+    only_letters = len(rest.translate(None, _ASCII)) == 2 * latin and not (latin and (b"\xc3\x97" in low or b"\xc3\xb7" in low))
+    if not only_letters or marks & _DELICATE or _TWO_MARKS.search(low):
+        return _MARKS.sub(rb" \g<0> ", low)
+    for m in marks:
+        low = low.replace(bytes([m]), b" %c " % m)
+    return low
 
 
 class WordEncoder:
@@ -41,23 +62,26 @@ class WordEncoder:
 
     ASCII white space never meets other characters in this tokenizer: its normalizer neither composes nor
     lower-cases across it, its splitter drops it, and special strings hold none. So a text's ids are its words'
-    ids in turn.
+    ids in turn. ASCII letters may be lower-cased and marks set apart from letters beforehand, which leaves fewer
+    distinct words, but not where a special string may stand.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
-        self.library, self.cache, self.stems = Tokenizer.from_file(path), {}, {}
-        # Lower-case words of plain letters pass the normalizer and the splitter unchanged, so these can be left out for them.
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-        self.letters = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}))
+        self.library, self.cache = Tokenizer.from_file(path), {}
+        self.steps = self.library.normalizer, self.library.pre_tokenizer
+        # Lower-case words of plain letters pass the normalizer and the splitter unchanged, so these are left out for them.
+        self.plain_steps = None, Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.marks = {m: self.library.encode(m, add_special_tokens=False).ids for m in (",", "\x01")}
 
-    def _many(self, library, words: list[bytes], mark: str) -> list[bytes]:
+    def _many(self, words: list[bytes], mark: str, steps) -> list[bytes]:
         """Each word's ids, from one call of the library with a word of a single id between the words to tell them apart."""
-        sign = library.encode(mark, add_special_tokens=False).ids
+        library = self.library
+        library.normalizer, library.pre_tokenizer = steps
+        sign = self.marks[mark]
         if len(sign) == 1 and len(words) > 1 and not any(mark.encode() in w for w in words):
             ids = np.array(library.encode_batch_fast([f" {mark} ".join([w.decode("utf-8") for w in words])], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(ids == sign[0])
@@ -67,38 +91,39 @@ class WordEncoder:
         return [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)]
 
     def _learn(self, words: set[bytes]) -> None:
-        cache, stems, parts, rest = self.cache, self.stems, {}, set()
-        if len(stems) > CACHE_STEMS:
-            stems.clear()
-        for w in words:
-            if len(w) <= CACHE_BYTES and (m := _PLAIN.fullmatch(w)):
-                parts[w] = (m[1].lower() if m[1].isascii() else m[1].decode("utf-8").lower().encode("utf-8"), m[2])
-            else:
-                rest.add(w)
-        letters = list({x for x, _ in parts.values()}.difference(stems))
-        marks = list({x for _, x in parts.values() if x}.difference(stems))
-        for library, own, mark, into in ((self.letters, letters, ",", stems), (self.library, marks, "\x01", stems), (self.library, list(rest), "\x01", cache)):
-            for at in range(0, len(own), 4096):
-                into.update(zip(own[at : at + 4096], self._many(library, own[at : at + 4096], mark), strict=True))
-        for w, (stem, mark) in parts.items():
-            cache[w] = stems[stem] + stems[mark] if mark else stems[stem]
-
-    def __call__(self, text: bytes) -> bytes:
-        return b"".join(map(self._run, _runs(text)))
-
-    def _run(self, run: bytes) -> bytes:
-        words, cache = run.split(), self.cache
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        for own, mark, steps in ((plain, ",", self.plain_steps), (list(words.difference(plain)), "\x01", self.steps)):
+            for at in range(0, len(own), 1 << 14):
+                part = own[at : at + (1 << 14)]
+                self.cache.update(zip(part, self._many(part, mark, steps), strict=True))
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text; new words of many texts are encoded together."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group, held = [], 0
+        for k, text in enumerate(texts):
+            for run in _runs(text):
+                group.append((k, run))
+                held += len(run)
+                if held > _AT_ONCE:
+                    self._encode(group, out)
+                    group, held = [], 0
+        self._encode(group, out)
+        return [b"".join(parts) for parts in out]
+
+    def _encode(self, group: list[tuple[int, bytes]], out: list[list[bytes]]) -> None:
+        cache = self.cache
         if len(cache) > CACHE_WORDS:
             cache.clear()
-        ids = list(map(cache.get, words))
-        if None in ids:
-            new = {w for w, x in zip(words, ids, strict=True) if x is None}
+        words = [(run if b"<|" in run else _marks_apart(run)).split() for _, run in group]
+        new = set().union(*words).difference(cache)
+        if new:
             self._learn(new)
-            ids = [cache[w] for w in words]
-            for w in new:
-                if len(w) > CACHE_BYTES:
-                    del cache[w]
-        return b"".join(ids)
+        for (k, _), own in zip(group, words, strict=True):
+            out[k].append(b"".join(map(cache.__getitem__, own)))
+        for w in new:
+            if len(w) > CACHE_BYTES:
+                del cache[w]
 
 
 @lru_cache(maxsize=2)
@@ -126,20 +151,22 @@ def _cutter(path: str, end_id: int, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen, task = encoder(path), [0] * (capacity + 1), TaskContext.get().partitionId()
         for batch in batches:
-            rows, held = [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py().encode("utf-8")) + last
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[at : at + 4 * capacity]
-                    n = len(own) // 4
-                    rows.append((doc, k, at // 4, n, own, task, seen[n]))
-                    seen[n] += 1
-                held += len(ids)
-                if held > 1 << 24:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                rows, held = [], 0
+                for doc, own_ids in zip(part.column(0).to_pylist(), encode([t.as_buffer().to_pybytes() if t.is_valid else b"" for t in part.column(1)]), strict=True):
+                    ids = own_ids + last
+                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        own = ids[at : at + 4 * capacity]
+                        n = len(own) // 4
+                        rows.append((doc, k, at // 4, n, own, task, seen[n]))
+                        seen[n] += 1
+                    held += len(ids)
+                    if held > 1 << 24:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+                        rows, held = [], 0
+                if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     return cut
 

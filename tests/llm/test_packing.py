@@ -19,10 +19,19 @@ def library():
 
 def test_encoder_equals_the_library(library, spark, sf):
     encode = WordEncoder(PATH)
-    odd = ["a'b don't it's 'S <|endoftext|>x İstanbul ΣΣ é ́x", "\x01 a\x01b 12ab34,,,-- x　y​z", "x" * 5000 + " \U0001f600\U0001f600! A\x1cB a\x85b", "", " \n\t ", "ÉCOLE, École; école. naïve×÷ 'tis '.'s.", "<|startoftext|>,<|ENDOFTEXT|>", ",s '.d ,'s, a,'t"]
+    odd = ["a'b don't it's 'S <|endoftext|>x İstanbul ΣΣ é ́x", "\x01 a\x01b 12ab34,,,-- x　y​z", "x" * 5000 + " \U0001f600\U0001f600! A\x1cB a\x85b", "", " \n\t ", "ÉCOLE, École; école. naïve×÷ 'tis '.'s.", "<|startoftext|>,<|ENDOFTEXT|>", ",s '.d ,'s, a,'t", "a—b,—c —,d ,é é, É,É x\u0301,y ,\u0301 \x01,a a,\x01 \x7f. .\x7f", "A.B.C 3.14,15 (x)[y]{z} a_b#c @d!e?f;g:h", "<|x A,B"]
     texts = odd + [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
-    for t in texts + texts:
-        assert np.frombuffer(encode(t.encode()), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+    for own in (encode([t.encode() for t in texts]), encode([t.encode() for t in texts]), [encode([t.encode()])[0] for t in texts]):
+        for t, ids in zip(texts, own, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_random_texts_equal_the_library(library):
+    rng = random.Random(5)
+    encode, alphabet = WordEncoder(PATH), list("abcXYZ019 ,.'!-\t\n") + ["é", "É", "ß", "×", "—", "\u0301", "\x01", "\u00a0", "\u0130", "中", "<|", "|>", "'s", "'RE", "ſ"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(4000)]
+    for t, ids in zip(texts, encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def check(rows, found, library):
