@@ -49,7 +49,6 @@ def _made() -> dict:
         "intersects": _each("boolean", lambda a, b: s.intersects(read(a), read(b))),
         "distance": _each("double", lambda a, b: s.distance(read(a), read(b))),
         "overlap": _each("double", lambda cell, g: s.overlap_with_convex(read(cell), read(g))),
-        "contains": _each("boolean", lambda g, x, y: s.contains_point(read(g), x, y)),
         "to_grid": _each("binary", lambda g: s.write_wkb(s.mapped(read(g), crs.to_grid_np))),
         "to_lonlat": _each("binary", lambda g: s.write_wkb(s.mapped(read(g), crs.to_lonlat_np))),
         "n_parts": _each("int", lambda g: len(read(g)[1])),
@@ -93,8 +92,27 @@ def st_overlap(cell, geom) -> Column:
     return _made()["overlap"](cell, geom)
 
 
+@cache
+def _contains():
+    def contains(geom: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        """Each distinct polygon of a batch is read once and takes all its points together."""
+        xy = np.stack([x.to_numpy(np.float64), y.to_numpy(np.float64)], axis=1)
+        out = np.full(len(xy), None, object)
+        which, found = pd.factorize(geom)
+        order = np.argsort(which, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(which[order])) + 1):
+            if len(rows) and which[rows[0]] >= 0:
+                rows = rows[~np.isnan(xy[rows]).any(axis=1)]
+                out[rows] = shapes.contains_points(shapes.read_wkb(found[which[rows[0]]]), xy[rows]) if len(rows) else None
+        return pd.Series(out, dtype=object)
+
+    contains.__annotations__ = {"geom": pd.Series, "x": pd.Series, "y": pd.Series, "return": pd.Series}
+    return F.pandas_udf(contains, "boolean")
+
+
 def st_contains(geom, x, y) -> Column:
-    return _made()["contains"](geom, x, y)
+    """Whether a point lies strictly inside."""
+    return _contains()(geom, x, y)
 
 
 def st_to_grid(geom) -> Column:
