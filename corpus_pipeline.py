@@ -22,7 +22,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; a document of which nothing but white space is left goes with them. ``n_chars`` follows the text."""
-    rest = dedup_lines(docs).where((F.col("n_gone") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
+    rest = dedup_lines(docs, min_words=1).where((F.col("n_gone") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
     return rest.withColumn("n_chars", F.when(F.col("n_gone") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
