@@ -61,6 +61,8 @@ def labelled_others(seed: int = 12, n: int = 600) -> list[str]:
     """Long strings without spaces that are no credentials: paths, names, numbers, dates, versions, ruled lines."""
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("bcdfghklmnprstvw") + rng.choice("aeiou") + rng.choice(["", "", "n", "r", "s", "th"]) for _ in range(rng.randint(1, 4)))
+    part = lambda: rng.choice(["", *"bcdfghjklmnpqrstvwxyz", "qu", "ch", "tr"]) + rng.choice([*"aeiouy", "ai", "ei", "ie", "eau", "io", "ue"]) + rng.choice(["", "", *"lmnrstx", "nt", "ll", "ng", "ch", "rk"])
+    letters = lambda low=2, high=9: "".join(part() for _ in range(rng.randint(low, high)))
     number = lambda k=8: "".join(rng.choices(_DIGIT, k=rng.randint(1, k)))
     make = [
         lambda: "/".join(word() for _ in range(rng.randint(2, 6))) + rng.choice([".html", ".py", ".json", "/"]),
@@ -74,6 +76,11 @@ def labelled_others(seed: int = 12, n: int = 600) -> list[str]:
         lambda: rng.choice("=-_.") * rng.randint(16, 60),
         lambda: f"20{rng.randint(10, 30)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}T{number(2)}.{number(6)}",
         lambda: "".join(word() for _ in range(6)),
+        lambda: letters(5, 12),
+        lambda: letters(5, 12).capitalize(),
+        lambda: letters(5, 12).upper(),
+        lambda: "".join(letters(1, 4).capitalize() for _ in range(rng.randint(2, 5))),
+        lambda: rng.choice("_-./=").join(letters(1, 4) for _ in range(rng.randint(3, 7))),
         lambda: word().upper() + "_" + word().upper() + "_" + word().upper() + number(2),
     ]
     return [rng.choice(make)() for _ in range(n)]
@@ -195,12 +202,10 @@ def format_score(candidate: str) -> float:
 
 _CANDIDATE = np.zeros(256, bool)
 _CANDIDATE[list((_ALNUM + "+/_.=-").encode())] = True
-_DIGITS = np.zeros(256, np.int64)
-_DIGITS[list(_DIGIT.encode())] = 1
 
 
 def _candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches of at least ``MIN_CANDIDATE`` characters that credentials may hold, with two digits or more; code points."""
+    """Stretches of at least ``MIN_CANDIDATE`` characters that credentials may hold; code points."""
     raw = np.frombuffer(text.encode("utf-8"), np.uint8)
     fits = np.zeros(len(raw) + 2, np.int8)
     fits[1:-1] = _CANDIDATE[raw]
@@ -208,11 +213,6 @@ def _candidates(text: str) -> Iterator[tuple[int, int]]:
     begin, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
     long = end - begin >= MIN_CANDIDATE
     begin, end = begin[long], end[long]
-    if not len(begin):
-        return
-    digits = np.r_[0, np.cumsum(_DIGITS[raw])]
-    enough = digits[end] - digits[begin] >= 2
-    begin, end = begin[enough], end[enough]
     if not len(begin):
         return
     points = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]

@@ -30,6 +30,12 @@ def test_automata_tell_credentials_from_other_strings():
     assert np.mean(hits) > 0.9 and np.mean(false) < 0.05
 
 
+def test_credentials_with_few_digits_are_found():
+    few = [x for own in labelled_credentials(99, 400).values() for x in own if sum(c.isdigit() for c in x) < 2]
+    assert len(few) > 100 and np.mean([bool(spans(f"see {x} end")[1]) for x in few]) > 0.9
+    assert np.mean([bool(spans(f"see {x} end")[1]) for x in labelled_others(98, 1500)]) < 0.02
+
+
 def test_merging_generalises():
     a = Automaton(["....-0" + "-0" * k for k in range(12)] * 10)
     assert len({s for state in a.states for s in state.to.values()}) > 0
