@@ -200,6 +200,53 @@ def format_score(candidate: str) -> float:
     return ratio / len(coded) if ratio >= TOTAL else -math.inf
 
 
+#: The literal starts of the formats with the lengths their credentials have.
+_LENGTHS: dict[str, set[int]] = {}
+for _shapes in FORMATS.values():
+    for _parts in _shapes:
+        if _parts[0][0]:
+            _LENGTHS.setdefault(_parts[0][0], set()).add(sum(len(start) + size for start, _, size in _parts))
+_LITERAL = re.compile("(?=(" + "|".join(map(re.escape, sorted(_LENGTHS))) + "))")
+#: Marks at which a run is split, the coarser first.
+_SPLITS = tuple(re.compile(rf"[^{marks}]+") for marks in ("=/", "=/.", "=/.-"))
+
+
+def _scored(run: str, a: int, b: int) -> Iterator[tuple[int, int]]:
+    """The parts of ``run[a:b]``, less the marks at its ends, that look like a credential: it as a whole, or its stretches of ``MAX_SCORED``."""
+    own = run[a:b].strip(".=-")
+    if len(own) < MIN_CANDIDATE:
+        return
+    at = a + run[a:b].index(own)
+    last = at + len(own) - min(len(own), MAX_SCORED)
+    hits = [k for k in [*range(at, last, MAX_SCORED), last] if format_score(run[k : min(k + MAX_SCORED, at + len(own))]) >= MARGIN]
+    while hits:
+        begin = end = hits[0]
+        while hits and hits[0] <= end:
+            end = min(hits.pop(0) + MAX_SCORED, at + len(own))
+        yield begin, end
+
+
+def _learned(run: str) -> list[tuple[int, int]]:
+    """Learned formats' spans in a run: from literal starts, then in pieces between marks, then in the run as a whole; none overlap."""
+    found: list[tuple[int, int]] = []
+
+    def add(pieces: Iterator[tuple[int, int]]) -> None:
+        found.extend(p for p in pieces if not any(p[0] < e and s < p[1] for s, e in found))
+
+    for m in _LITERAL.finditer(run):
+        at = m.start()
+        ends = {e for n in _LENGTHS[m[1]] if (e := at + n) <= len(run) and not run[e : e + 1].isalnum()}
+        ends |= {split.match(run, at).end() for split in _SPLITS[:2]} if not ends else set()
+        best = max(((format_score(run[at:e]), at, e) for e in ends if MIN_CANDIDATE <= e - at <= MAX_SCORED), default=(-math.inf, 0, 0))
+        if best[0] >= MARGIN:
+            add(iter([best[1:]]))
+    for split in _SPLITS:
+        for m in split.finditer(run):
+            add(_scored(run, *m.span()))
+    add(_scored(run, 0, len(run)))
+    return found
+
+
 _CANDIDATE = np.zeros(256, bool)
 _CANDIDATE[list((_ALNUM + "+/_.=-").encode())] = True
 
@@ -231,17 +278,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _outside(a: int, b: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The stretches of a run that no fixed pattern's span covers."""
+    for s, _, e in base:
+        if s < b and a < e:
+            if s - a >= MIN_CANDIDATE:
+                yield a, s
+            a = max(a, e)
+    if b - a >= MIN_CANDIDATE:
+        yield a, b
+
+
 def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """The fixed patterns' spans, and these with the learned formats' spans that overlap none of them."""
     base = base_spans(text)
     more = []
     for a, b in _candidates(text):
-        if any(a < e and s < b for s, _, e in base):
-            continue
-        own = text[a:b].strip(".=-")
-        at = a + (text[a:b].index(own) if own else 0)
-        if len(own) >= MIN_CANDIDATE and format_score(own) >= MARGIN:
-            more.append((at, 3, at + len(own)))
+        for s, e in _outside(a, b, base):
+            more += [(s + x, 3, s + y) for x, y in _learned(text[s:e])]
     return base, sorted(base + more)
 
 

@@ -36,6 +36,15 @@ def test_credentials_with_few_digits_are_found():
     assert np.mean([bool(spans(f"see {x} end")[1]) for x in labelled_others(98, 1500)]) < 0.02
 
 
+def test_credentials_inside_longer_runs_are_found():
+    path = "/".join(["usr", "local", "share", "manual"] * 40)
+    known = [x for name, own in labelled_credentials(99, 30).items() if name != "hex digest key" for x in own]
+    for before, after in (("GH_PAT=", ""), ("path/", "/more"), ("v.", ""), ("name-", ""), (path + "/", ""), ("", "-end"), ("x=", "/" + "0123456789abcdef" * 2)):
+        got = [(text, x, spans(text)[1]) for x in known for text in [f"see {before}{x}{after} end"]]
+        hits = [any(text[a:b] == x or (k == 1 and x in text[a:b]) for a, k, b in found) for text, x, found in got]
+        assert np.mean(hits) > 0.9, (before, after, np.mean(hits))
+
+
 def test_merging_generalises():
     a = Automaton(["....-0" + "-0" * k for k in range(12)] * 10)
     assert len({s for state in a.states for s in state.to.values()}) > 0
