@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import read_table, shared_dir
+from cellweave.llm.common import read_table, shared_dir, unused
 from cellweave.llm.decontaminate import without_contaminated
 from cellweave.llm.line_dedup import dedup_lines
 from cellweave.llm.packing import packed_documents
@@ -22,8 +22,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; a document of which nothing but white space is left goes with them. ``n_chars`` follows the text."""
-    rest = dedup_lines(docs, min_words=1).where((F.col("n_gone") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
-    return rest.withColumn("n_chars", F.when(F.col("n_gone") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    n_lines, n_gone = unused(docs, "n_lines", "n_gone")
+    rest = dedup_lines(docs, min_words=1, counts=(n_lines, n_gone)).where((F.col(n_gone) == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
+    return rest.withColumn("n_chars", F.when(F.col(n_gone) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
