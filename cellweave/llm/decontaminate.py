@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import read_table, text_of
+from cellweave.llm.common import read_table, text_of, unused, written
 
 WINDOW = 10
 #: Windows that one search pass holds in memory; more are searched in further passes.
@@ -116,7 +116,7 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     return slim.mapInArrow(windows, "item long, words binary").distinct()
 
 
-def _searcher(tables, out_type: pa.Schema, own: str):
+def _searcher(tables, out_type: pa.Schema, words_of_text: str, own: str):
     """Adds what is found to ``own``: struct of words, stretches and items, joined to what earlier passes found."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +125,7 @@ def _searcher(tables, out_type: pa.Schema, own: str):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 found = []
-                for text, old in zip(part.column("text_"), part.column(own), strict=True):
+                for text, old in zip(part.column(words_of_text), part.column(own), strict=True):
                     n, stretches, items = _scan(text.as_py() or "", searches)
                     old = old.as_py()
                     stretches = merged([*stretches, *((x["a"], x["b"]) for x in old["stretches"])])
@@ -139,17 +139,21 @@ def _searcher(tables, out_type: pa.Schema, own: str):
 FOUND = "struct<words: long, stretches: array<struct<a: long, b: long>>, items: array<long>>"
 
 
-def search_windows(docs: DataFrame, windows: DataFrame, text_col: str = "text", pass_windows: int = PASS_WINDOWS) -> DataFrame:
-    """``docs`` with the column ``found_``: its number of words, the disjoint stretches of hit words, the items.
+def search_windows(docs: DataFrame, windows: DataFrame, text_col: str = "text", pass_windows: int = PASS_WINDOWS, found_col: str = "found_") -> DataFrame:
+    """``docs`` with the column ``found_col``: its number of words, the disjoint stretches of hit words, the items.
 
     The windows are counted first. Each pass takes those of one hash class, about ``pass_windows`` of them, to
-    the driver and broadcasts their tables, so both stay bounded whatever the benchmark's size; the documents
-    are never shuffled.
+    the driver and broadcasts their tables, so both stay bounded whatever the benchmark's size. The documents are
+    never shuffled; between two passes they are written, so that no task holds the tables of more than one. A column
+    of ``docs`` named ``found_col`` is replaced; all others stay, whatever their names. Null texts have no words,
+    repeated rows stay repeated, and an empty table gives no rows.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    windows = written(windows, "windows")
     passes = max(1, -(-windows.count() // pass_windows))
-    found = docs.withColumn("text_", text_of(text_col)).withColumn("found_", F.from_json(F.lit('{"words": 0, "stretches": [], "items": []}'), FOUND))
+    text = unused(docs, "text_")[0]
+    found = docs.withColumn(text, text_of(text_col)).withColumn(found_col, F.from_json(F.lit('{"words": 0, "stretches": [], "items": []}'), FOUND))
     schema = found.schema
     arrow = to_arrow_schema(schema)
     for k in range(passes):
@@ -158,19 +162,22 @@ def search_windows(docs: DataFrame, windows: DataFrame, text_col: str = "text",
             pattern = tuple(bytes(words).split(b" "))
             by_length.setdefault(len(pattern), {}).setdefault(pattern, []).append(item)
         tables = docs.sparkSession.sparkContext.broadcast([WuManber(x) for x in by_length.values()])
-        found = found.mapInArrow(_searcher(tables, arrow, "found_"), schema)
-    return found.drop("text_")
+        found = found.mapInArrow(_searcher(tables, arrow, text, found_col), schema)
+        if k < passes - 1:
+            found = written(found, "windows-searched")
+    return found.drop(text)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", pass_windows: int = PASS_WINDOWS) -> DataFrame:
     """``doc_id``, ``found_`` and a row per document; a null text has no words, repeated rows stay repeated."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return search_windows(slim, benchmark_windows(benchmark)).drop("text")
+    return search_windows(slim, benchmark_windows(benchmark), pass_windows=pass_windows).drop("text")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns) in which no benchmark window occurs."""
-    return search_windows(docs, benchmark_windows(benchmark), text_col).where(F.size("found_.stretches") == 0).drop("found_")
+    """The rows of ``docs`` (all columns, whatever their names) in which no benchmark window occurs; an empty table gives none."""
+    found = unused(docs, "found")[0]
+    return search_windows(docs, benchmark_windows(benchmark), text_col, found_col=found).where(F.size(f"{found}.stretches") == 0).drop(found)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

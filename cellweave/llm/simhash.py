@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import read_table, text_of, written
+from cellweave.llm.common import read_table, text_of, unused, written
 from cellweave.operators.components import connected_components
 
 BITS = 64
@@ -141,41 +141,53 @@ def near_links(fps: DataFrame, distance: int = 4, fp_col: str = "fp") -> DataFra
     return found.distinct()
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, distance: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp, digest`` of every document, and ``fp, group`` of every distinct fingerprint.
+
+    Groups are named on distinct fingerprints, and written: joins of written tables have no aggregation in their stage, so
+    that Spark may split the partition of a fingerprint or group that holds a large part of the rows.
+    """
+    fps = written(fingerprints(docs, id_col, text_col), "fingerprints")
+    parts = connected_components(near_links(fps, distance))
+    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("low")).join(parts, F.col("fp") == F.col("node"), "left")
+    return fps, written(distinct.select("fp", "low", F.coalesce("component", "fp").alias("group")), "fingerprint-groups")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4) -> DataFrame:
     """Near-duplicate groups of whole texts: ``doc_id``, ``fp``, ``digest``, ``group`` (the smallest fingerprint that is reachable).
 
     A null text counts as empty; texts without words have fingerprint zero and link like any other. Repeated
     rows stay repeated, a null id stays null, further columns are ignored, and an empty table gives no rows.
     """
-    fps = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    parts = connected_components(near_links(fps, distance))
-    labels = fps.select("fp").distinct().join(parts, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("group"))
-    return fps.join(labels, "fp").select("doc_id", "fp", "digest", "group")
+    fps, groups = _grouped(docs, id_col, text_col, distance)
+    return fps.join(groups.select("fp", "group"), "fp").select("doc_id", "fp", "digest", "group")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 lower-case hex digits) and ``component_id`` (the smallest id of the group), a row per document."""
-    fps = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    parts = connected_components(near_links(fps, distance))
-    # Groups are named on distinct fingerprints; documents, of which a third may share one, join on these alone.
-    lows = fps.groupBy("fp").agg(F.min("doc_id").alias("low")).join(parts, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("component", "fp").alias("group"))
-    least = lows.groupBy("group").agg(F.min("low").alias("component_id"))
-    named = lows.join(least, "group").select("fp", "component_id")
+    """``doc_id``, ``fingerprint`` (16 lower-case hex digits) and ``component_id`` (the smallest id of the group), a row per document.
+
+    Nulls, empty texts, repeated rows, further columns and empty tables are treated as by ``simhash_groups``.
+    """
+    fps, groups = _grouped(docs, id_col, text_col, distance)
+    least = written(groups.groupBy("group").agg(F.min("low").alias("component_id")), "least-ids")
+    named = groups.join(least, "group").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return fps.join(named, "fp").select("doc_id", hexed, "component_id")
 
 
 def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` (all columns) without near duplicates: of each group the document with the smallest id stays.
+    """The rows of ``docs`` (all columns, whatever their names) without near duplicates: of each group the document with the smallest id stays.
 
-    Rows without an id give way to rows with one; rows that repeat both id and text count as one.
+    Rows without an id give way to rows with one; rows that repeat both id and text count as one; null texts count
+    as empty, and of all documents without words one stays; an empty table gives no rows.
     """
+    key, own, digest = unused(docs, "stay_key", "stay_id", "stay_digest")
     groups = simhash_groups(docs, id_col, text_col, distance)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
-    stay = groups.groupBy("group").agg(F.min(order).alias("x")).select(F.col("x.doc_id").alias("stay_id"), F.col("x.digest").alias("stay_digest"))
-    rows = docs.withColumn("stay_key_", F.xxhash64(text_of(text_col)))
-    kept = rows.join(stay, F.col("stay_key_").eqNullSafe(F.col("stay_digest")) & F.col(id_col).cast("long").eqNullSafe(F.col("stay_id")), "left_semi")
-    return kept.dropDuplicates([id_col, "stay_key_"]).drop("stay_key_")
+    stay = groups.groupBy("group").agg(F.min(order).alias("x")).select(F.col("x.doc_id").alias(own), F.col("x.digest").alias(digest))
+    rows = docs.withColumn(key, F.xxhash64(text_of(text_col)))
+    kept = rows.join(stay, (F.col(key) == F.col(digest)) & F.col(id_col).cast("long").eqNullSafe(F.col(own)), "left_semi")
+    return kept.dropDuplicates([id_col, key]).drop(key)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,6 +102,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     cut = written(chunks(docs, id_col, text_col), "chunks")
     repeated = cut.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first")
+    # Written, because Spark splits the partition of a digest that many rows share only in a join of two plain shuffles.
+    repeated = written(repeated, "repeated-digests")
     shared = cut.join(repeated, "digest").select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"), "words", "first").distinct()
     in_order = W.partitionBy("doc_id").orderBy("start", "end")
     breaks = shared.withColumn("break", F.coalesce((F.lag("end").over(in_order) < F.col("start")).cast("int"), F.lit(1)))

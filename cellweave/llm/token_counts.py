@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import read_table, shared_dir, text_of
+from cellweave.llm.common import read_table, shared_dir, text_of, written
 
 LIMIT = 4096
 CACHE = "content binary, tokenizer string, n_tokens long"
@@ -48,7 +48,7 @@ def _counter(path: str, version: str):
 def token_counts(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens``, a row per document; counts of unknown texts are appended to ``cache``.
 
-    ``cache`` is a Parquet path in a store that all executors reach; it need not exist. The content digest is
+    ``cache`` is a Parquet path in a store that all executors reach, with a folder per tokenizer version; it need not exist. The content digest is
     the SHA-256 of the text with null read as empty; the texts themselves aren't altered, for counts must be the
     library's. Misses are made distinct with a map-side combine, so a group of copies of any size is encoded
     once; only digests and counts meet in the last join. Null ids stay null, repeated rows stay repeated, an
@@ -57,11 +57,13 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc
     spark = docs.sparkSession
     version = tokenizer_digest(tokenizer)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("content", F.unhex(F.sha2("text", 256)))
-    spark.createDataFrame([], CACHE).write.mode("append").parquet(cache)
-    known = spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version).select("content", "n_tokens").dropDuplicates(["content"])
+    spark.createDataFrame([], CACHE).write.mode("append").partitionBy("tokenizer").parquet(cache)
+    known = spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version).select("content", "n_tokens")
     missing = rows.select("content", "text").join(known, "content", "left_anti").groupBy("content").agg(F.first("text").alias("text"))
-    missing.mapInArrow(_counter(tokenizer, version), CACHE).write.mode("append").parquet(cache)
-    known = spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version).select("content", "n_tokens").dropDuplicates(["content"])
+    missing.mapInArrow(_counter(tokenizer, version), CACHE).write.mode("append").partitionBy("tokenizer").parquet(cache)
+    known = spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version).select("content", "n_tokens")
+    # Written, because Spark splits the partition of a text that many rows share only in a join of two plain shuffles.
+    known = written(known.groupBy("content").agg(F.min("n_tokens").alias("n_tokens")), "known-counts")
     return rows.select("doc_id", "content", F.octet_length("text").cast("long").alias("n_bytes")).join(known, "content").select("doc_id", "n_bytes", "n_tokens")
 
 

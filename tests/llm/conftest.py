@@ -1,6 +1,6 @@
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, row long, fp string, word string, digest string, n long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, row long, fp string, word string, digest string, n long, row_ string, gone_ string, gone string, of string, text_ string, found_ string, found string, stay_key string, stay_key_ string, stay_id string, stay_digest string, n_lines string, n_gone string"
 
 
 @pytest.fixture(scope="session")
@@ -21,7 +21,7 @@ def odd(spark):
         (8, "éàü ß Ünï 中文字 😀   nbsp em", "de", "c"),
         (9, "short", "es", "c"),
     ]
-    return spark.createDataFrame([(*r, len(r[1]) if r[1] else None, "k", 1, "f", "w", "d", 2) for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, len(r[1]) if r[1] else None, "k", 1, "f", "w", "d", 2, *[f"own {k}" for k in range(13)]) for r in rows], SCHEMA)
 
 
 @pytest.fixture(scope="session")
