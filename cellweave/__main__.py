@@ -1,4 +1,4 @@
-"""``python -m cellweave extract | transform | load | assemble | build | sync``."""
+"""``python -m cellweave fetch | extract | transform | load | assemble | build | sync``."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from cellweave.plans import runner
 from cellweave.plans.sync import POLICIES, FolderStore, sync
-from cellweave.sources.fetch import data_dir
+from cellweave.sources.fetch import data_dir, data_source, obtain
 from cellweave.steps.base import RESOLUTIONS
 from cellweave.steps.datasets import DATASETS
 from cellweave.steps.transforms import STEPS
@@ -17,8 +17,10 @@ from cellweave.steps.transforms import STEPS
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="cellweave", description=__doc__)
-    parser.add_argument("command", choices=["extract", "transform", "load", "assemble", "build", "sync"])
+    parser.add_argument("command", choices=["fetch", "extract", "transform", "load", "assemble", "build", "sync"])
     parser.add_argument("--only", action="append", default=[], choices=[d.name for d in DATASETS], help="extract: this dataset (repeatable)")
+    parser.add_argument("--catalogue", type=Path, help="fetch: JSON file that says how each source is had (default: sources.json in the data folder)")
+    parser.add_argument("--force-download", action="store_true", help="fetch: also what is there already")
     parser.add_argument("--all", action="store_true", help="rebuild what exists")
     parser.add_argument("--include", action="append", default=[], help="load: a further relation (repeatable)")
     parser.add_argument("--resolution", action="append", type=int, default=[], help="cell resolution (repeatable)")
@@ -26,6 +28,13 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--policy", choices=POLICIES, default="ignore")
     args = parser.parse_args(argv)
     root, resolutions = data_dir(), tuple(args.resolution) or RESOLUTIONS
+    if args.command == "fetch":
+        for name in args.only or [d.name for d in DATASETS]:
+            try:
+                print(name, obtain(data_source(name, args.catalogue or root / "sources.json", root / "sources.local.json"), root / "raw" / name, args.force_download))
+            except (OSError, ValueError) as error:
+                print(f"{name} not fetched: {error}")
+        return 0
     spark = SparkSession.builder.appName("cellweave").config("spark.sql.session.timeZone", "UTC").config("spark.scheduler.mode", "FAIR").getOrCreate()
     if args.command in ("extract", "build"):
         for name, outcome in runner.run_extracts(spark, DATASETS, root / "extract", lambda n: f"{root / 'raw' / n}", args.only, args.all).items():

@@ -132,7 +132,9 @@ def test_cctv_nodes(spark, tmp_path):
     path.write_text(json.dumps({"elements": []}))
     with pytest.raises(RuntimeError):
         D.cctv(ctx(spark, {"cctv": path}))
-    assert "(49.75,-5.86,56.0,1.81)" in fetch.overpass_query("man_made=surveillance", (-5.86, 49.75, 1.81, 56.0))
+    box = (-5.86, 49.75, 1.81, 56.0)
+    assert '["man_made"="surveillance"](49.75,-5.86,56.0,1.81);' in fetch.map_query(box, {"man_made": "surveillance"})
+    assert fetch.map_query(box, {"a": None}, ("node", "way")).count('["a"](49.75') == 2
 
 
 def test_places_and_street_lights(spark, tmp_path):
@@ -185,31 +187,59 @@ def test_schools_with_their_walks(spark, tmp_path):
     assert len(got) == 1 and got[0].establishmentname == "École" and abs(got[0].isochrone_area_km2 - 0.01) < 1e-12 and got[0].h3_11_id.startswith("8b")
 
 
-def test_cached_members_newest_files_and_dated_downloads(tmp_path):
-    archive = zipped(tmp_path / "a.zip", {"x.txt": b"one"})
-    dest = fetch.cached_member(archive, "x.txt", tmp_path / "x.txt")
-    dest.write_text("kept")
-    assert fetch.cached_member(archive, "x.txt", dest).read_text() == "kept"
+def test_unpacked_members_and_first_answers(tmp_path):
+    archive = zipped(tmp_path / "a.zip", {"in/x.txt": b"one"})
+    dest = fetch.unpacked(archive, "in/x.txt", tmp_path)
+    assert dest.read_text() == "one"
+    dest.write_text("two")  # the same size, another checksum
+    assert fetch.unpacked(archive, "in/x.txt", tmp_path).read_text() == "one"
     os.utime(dest, (1, 1))
-    assert fetch.cached_member(archive, "x.txt", dest).read_text() == "one"
-    (tmp_path / "n-1.csv").touch()
-    (tmp_path / "n-2.csv").touch()
-    assert fetch.newest(tmp_path, "n-*.csv", lambda: None).name == "n-2.csv" and fetch.newest(tmp_path, "n-*.csv", lambda: dest, force=True) == dest
+    assert fetch.unpacked(archive, "in/x.txt", tmp_path).stat().st_mtime == 1
+    with pytest.raises(KeyError):
+        fetch.unpacked(archive, "absent", tmp_path)
     asked = []
 
     def get(url, to):
         asked.append(url)
-        to.write_text("part")
         if "20240301" in url:
             raise urllib.error.URLError("none")
-        return to
-
-    got = fetch.dated_download("http://x/f{stamp}.csv", tmp_path, dt.date(2024, 3, 1), get)
-    assert got.name == "f20240229.csv" and not (tmp_path / "f20240301.csv").exists() and len(asked) == 2
-    with pytest.raises(FileNotFoundError):
-        fetch.dated_download("http://x/g{stamp}-20240301.csv", tmp_path, dt.date(2024, 3, 1), lambda u, to: get("20240301", to))
-    with pytest.raises(FileNotFoundError, match="ask"):
-        fetch.manual_file(tmp_path / "no", "ask for it")
+        return fetch._replaced(to, [b"whole"])
+
+    urls = fetch.by_day("http://x/f{day:%Y%m%d}.csv", dt.date(2024, 3, 1))
+    got = fetch.first_answer(urls, tmp_path, get)
+    assert got.name == "f20240229.csv" and got.read_text() == "whole" and asked == urls
+    assert fetch.first_answer(urls[1:], tmp_path, None) == got
+    with pytest.raises(FileNotFoundError, match="20240301"):
+        fetch.first_answer(urls[:1], tmp_path, get)
+
+    def broken():
+        yield b"half"
+        raise OSError("cut off")
+
+    with pytest.raises(OSError):
+        fetch._replaced(got, broken())
+    assert got.read_text() == "whole" and not list(tmp_path.glob(".*"))
+
+
+def test_obtaining_a_source(tmp_path):
+    sent = []
+
+    def get(url, to, post=None):
+        sent.append((url, post))
+        return zipped(to, {"m.csv": b"a,b"}) if url.endswith("zip") else fetch._replaced(to, [url.encode()])
+
+    folder = tmp_path / "s"
+    folder.mkdir()
+    entry = {"urls": ["http://x/d{day:%d}.json"], "post": {"data": "q"}}
+    path = fetch.obtain(entry, folder, today=dt.date(2024, 3, 1), get=get)
+    assert path.name == "d01.json" and sent == [("http://x/d01.json", {"data": "q"})]
+    assert fetch.obtain(entry, folder, get=None) == path
+    fetch.obtain(entry, folder, force=True, today=dt.date(2024, 3, 1), get=get)
+    assert len(sent) == 2
+    assert fetch.obtain({"urls": ["http://x/a.zip"], "member": "m.csv"}, tmp_path / "z", get=get).read_text() == "a,b"
+    with pytest.raises(FileNotFoundError, match="ask for it"):
+        fetch.obtain({"manual": "ask for it"}, tmp_path / "none")
+    assert fetch.latest(tmp_path / "none", "*") is None
 
 
 def test_catalogue_with_override(tmp_path):
