@@ -278,15 +278,14 @@ def overlap_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("spatial_id", "road_id", F.round("overlap_length", 3).alias("overlap_length"))
 
 
-_FEW_SQL = f"(SELECT * FROM {_RECTS_SQL} WHERE code % 10 = 0)"
 _AWAY_SQL = "sqrt(power(greatest(ax - dx, cx - bx, 0), 2) + power(greatest(ay - dy, cy - ey, 0), 2))"
 
 
-@query(f"""WITH near AS (SELECT spatial_id, code, {_AWAY_SQL} AS away FROM {_CELLS_SQL} JOIN {_FEW_SQL} ON {_AWAY_SQL} <= 2000),
+@query(f"""WITH near AS (SELECT spatial_id, code, {_AWAY_SQL} AS away FROM {_CELLS_SQL} JOIN {_RECTS_SQL} ON {_AWAY_SQL} <= 2000),
   best AS (SELECT spatial_id, code, away, row_number() OVER (PARTITION BY spatial_id ORDER BY away, code) AS nth FROM near)
   SELECT c.spatial_id, code AS retail_centre_id, round(away, 6) AS distance FROM {_CELLS_SQL} c LEFT JOIN best b ON b.spatial_id = c.spatial_id AND nth = 1""")
 def nearest_within_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
-    centres = _rects(spark, sf_dir).where("code % 10 = 0").withColumnRenamed("code", "retail_centre_id")
+    centres = _rects(spark, sf_dir).withColumnRenamed("code", "retail_centre_id")
     return nearest_within(_cells(spark, sf_dir), centres, "cell_geom", "geom", "retail_centre_id", 2000.0).withColumn("distance", F.round("distance", 6))
 
 
@@ -298,8 +297,8 @@ def contains_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containing(pts, _rects(spark, sf_dir).withColumnRenamed("code", "oa21cd"), "o_orderkey", "x", "y", "geom", "oa21cd").select("o_orderkey", "oa21cd")
 
 
-#: Unit squares of side 100 in 40 by 40 places; neighbours of one class are dissolved.
-_SQUARES_SQL = "(SELECT DISTINCT p_partkey % 1600 AS k, (p_partkey % 1600) % 40 AS i, (p_partkey % 1600) // 40 AS j, ((p_partkey % 1600) * 7919) % 5 < 3 AS urban FROM part)"
+#: A square of side 100 for each part, in rows of 40; neighbours of one class are dissolved.
+_SQUARES_SQL = "(SELECT DISTINCT p_partkey AS k, (p_partkey * 7919) % 5 < 3 AS urban FROM part)"
 
 
 @query(f"SELECT urban, CAST(100.0 * 100.0 * count(*) AS DOUBLE) AS area FROM {_SQUARES_SQL} GROUP BY urban")
@@ -317,28 +316,29 @@ def dissolve_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dissolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey") % 1600
-    cells = read_table(spark, sf_dir, "part").select(k.alias("k")).distinct()
+    cells = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")).distinct()
     i, j = F.col("k") % 40 * 100, F.floor(F.col("k") / 40) * 100
     squares = cells.select("k", (F.col("k") * 7919 % 5 < 3).alias("urban"), S.st_rectangle(i, j, i + 100, j + 100).alias("geom"))
     return dissolve(squares, "k", "urban", "geom").withColumnRenamed("class", "urban").withColumn("area", S.st_area("geom"))
 
 
-#: A street grid with a node every 100 m and streets of one way or the other left out; walks of at most 300 m.
+#: A street of 30 nodes, 100 m apart, for each supplier, and streets across; some pieces are left out. Walks of at most 300 m.
 _NODES = 30
 
 
-def _network(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    nodes = spark.range(_NODES * _NODES).select(F.col("id").alias("node"), (F.col("id") % _NODES * 100.0).alias("x"), (F.floor(F.col("id") / _NODES) * 100.0).alias("y"))
-    along = nodes.where(f"node % {_NODES} < {_NODES - 1} and node % 7 <> 0").select(F.col("node").alias("u"), (F.col("node") + 1).alias("v"), F.lit(100.0).alias("length"))
-    up = nodes.where(f"node < {_NODES * (_NODES - 1)} and node % 5 <> 0").select(F.col("node").alias("u"), (F.col("node") + _NODES).alias("v"), F.lit(100.0).alias("length"))
-    return along.union(up), nodes
+def _network(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    streets = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s"), F.explode(F.sequence(F.lit(0), F.lit(_NODES - 1))).alias("i"))
+    nodes = streets.select((F.col("s") * _NODES + F.col("i")).alias("node"), (F.col("i") * 100.0).alias("x"), (F.col("s") * 100.0).alias("y"), "s", "i")
+    along = nodes.where(f"i < {_NODES - 1} and node % 7 <> 0").select(F.col("node").alias("u"), (F.col("node") + 1).alias("v"), F.lit(100.0).alias("length"))
+    last = streets.agg(F.max("s")).first()[0]
+    up = nodes.where((F.col("s") < F.lit(last)) & (F.col("node") % 5 != 0)).select(F.col("node").alias("u"), (F.col("node") + _NODES).alias("v"), F.lit(100.0).alias("length"))
+    return along.union(up), nodes.select("node", "x", "y")
 
 
-@query(f"""WITH RECURSIVE node AS (SELECT range AS node FROM range({_NODES * _NODES})),
-  edge AS (SELECT node AS u, node + 1 AS v FROM node WHERE node % {_NODES} < {_NODES - 1} AND node % 7 <> 0 UNION ALL SELECT node, node + {_NODES} FROM node WHERE node < {_NODES * (_NODES - 1)} AND node % 5 <> 0),
+@query(f"""WITH RECURSIVE node AS (SELECT s_suppkey AS s, i, s_suppkey * {_NODES} + i AS node FROM supplier, range({_NODES}) AS r(i)),
+  edge AS (SELECT node AS u, node + 1 AS v FROM node WHERE i < {_NODES - 1} AND node % 7 <> 0 UNION ALL SELECT node, node + {_NODES} FROM node WHERE s < (SELECT max(s_suppkey) FROM supplier) AND node % 5 <> 0),
   both_ways AS (SELECT u, v FROM edge UNION ALL SELECT v, u FROM edge),
-  walk AS (SELECT s_suppkey AS place, (s_suppkey * 13) % {_NODES * _NODES} AS node, 0 AS d FROM supplier UNION SELECT place, v, d + 100 FROM walk JOIN both_ways ON u = node WHERE d + 100 <= 300)
+  walk AS (SELECT s_suppkey AS place, s_suppkey * {_NODES} + (s_suppkey * 13) % {_NODES} AS node, 0 AS d FROM supplier UNION SELECT place, v, d + 100 FROM walk JOIN both_ways ON u = node WHERE d + 100 <= 300)
   SELECT place AS urn, count(DISTINCT node) AS n_nodes FROM walk GROUP BY 1""")
 def isochrone_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _isochrones(spark, sf_dir).select(F.col("place").alias("urn"), "n_nodes")
@@ -350,9 +350,9 @@ def isochrone_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _isochrones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges, nodes = _network(spark)
-    at = F.col("s_suppkey") * 13 % (_NODES * _NODES)
-    places = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("place"), (at % _NODES * 100.0 + 20.0).alias("px"), (F.floor(at / _NODES) * 100.0 - 30.0).alias("py"))
+    edges, nodes = _network(spark, sf_dir)
+    s = F.col("s_suppkey")
+    places = read_table(spark, sf_dir, "supplier").select(s.alias("place"), (s * 13 % _NODES * 100.0 + 20.0).alias("px"), (s * 100.0 - 30.0).alias("py"))
     return isochrones(places, edges, nodes, 300.0)
 
 
@@ -380,7 +380,7 @@ def h3_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _place_relations(spark: SparkSession, sf_dir: str):
-    """Crimes from events around one town, square boundaries of five sizes, greenspace, roads and centres on the grid."""
+    """Crimes from events around one town, square boundaries of five sizes; each part is a greenspace, road or centre by its type."""
     from cellweave.steps.base import Relations
 
     e, u = _events(spark, sf_dir), F.col("user_id")
@@ -393,9 +393,9 @@ def _place_relations(spark: SparkSession, sf_dir: str):
     k = F.col("p_partkey")
     x, y = k * 3571 % 22000 + 418000, k * 7727 % 22000 + 425000
     parts = read_table(spark, sf_dir, "part")
-    found["open_greenspace"] = parts.where("p_partkey % 4 = 0").select(k.cast("string").alias("id"), F.col("p_type").alias("function"), S.st_rectangle(x, y, x + 200, y + 150).alias("geom"))
-    found["open_roads"] = parts.where("p_partkey % 4 = 1").select(k.cast("string").alias("id"), F.col("p_type").alias("road_function"), S.st_line(x.cast("double"), y.cast("double"), (x + 900).cast("double"), (y + 400).cast("double")).alias("geom"))
-    found["retail_centres"] = parts.where("p_partkey % 40 = 2").select(k.cast("string").alias("rc_id"), S.st_rectangle(x, y, x + 300, y + 300).alias("geom"))
+    found["open_greenspace"] = parts.where("p_type in ('SMALL', 'MEDIUM', 'LARGE')").select(k.cast("string").alias("id"), F.col("p_type").alias("function"), S.st_rectangle(x, y, x + 200, y + 150).alias("geom"))
+    found["open_roads"] = parts.where("p_type in ('STANDARD', 'ECONOMY')").select(k.cast("string").alias("id"), F.col("p_type").alias("road_function"), S.st_line(x.cast("double"), y.cast("double"), (x + 900).cast("double"), (y + 400).cast("double")).alias("geom"))
+    found["retail_centres"] = parts.where("p_type = 'PROMO'").select(k.cast("string").alias("rc_id"), S.st_rectangle(x, y, x + 300, y + 300).alias("geom"))
     return Relations(found)
 
 

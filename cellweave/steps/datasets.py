@@ -183,7 +183,8 @@ def food_outlets(ctx: Context) -> DataFrame:
     return _points(flat, "lon_", "lat_").drop("lon_", "lat_")
 
 
-SCHOOL_COLUMNS = ("urn", "establishmentnumber", "establishmentname", "typeofestablishment_code", "typeofestablishment_name", "phaseofeducation_code", "phaseofeducation_name", "statutorylowage", "statutoryhighage", "schoolcapacity", "postcode", "urbanrural_code", "districtadministrative_code", "msoa_code", "lsoa_code", "establishmentstatus_code")
+#: The columns of the schools table, in its order.
+SCHOOL_COLUMNS = ("urn", "establishmentnumber", "establishmentname", "typeofestablishment_code", "typeofestablishment_name", "establishmentstatus_code", "phaseofeducation_code", "phaseofeducation_name", "statutorylowage", "statutoryhighage", "schoolcapacity", "postcode", "urbanrural_code", "districtadministrative_code", "msoa_code", "lsoa_code")
 
 
 def schools(ctx: Context) -> DataFrame:
