@@ -8,6 +8,7 @@ get one more coordinate that makes all lengths equal, so that the largest inner
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,11 +21,13 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.common import read_table, written
 
-#: The trees, their depth at most, and how many leaves of the forest a query visits. With these 0.96 to 0.99 of the
-#: true neighbours are found on the test tables, whose vectors lie nearly evenly in all 64 dimensions.
-TREES, DEPTH, VISITS = 4, 6, 104
-#: Vectors the planes are fitted on, at most: those with the least hashes.
-SAMPLE_ROWS = 8192
+#: The trees, about how many vectors a leaf holds (the trees' depth follows from the number of distinct vectors), and how
+#: many vectors a query meets in the leaves it visits, those in several trees counted each time, at any size of the table.
+TREES, LEAF, MEETS = 12, 100, 30_000
+#: Tables of fewer distinct vectors are one leaf, searched whole and once.
+ONE_LEAF = 4096
+#: Vectors the planes are fitted on: so many for each leaf, those with the least hashes; and the most of them at all.
+SAMPLE_PER_LEAF, SAMPLE_ROWS = 32, 1 << 17
 #: Distinct vectors or queries that meet in one task at a time.
 BLOCK = 8192
 
@@ -57,26 +60,37 @@ class Forest:
         return out
 
     def visits(self, q: np.ndarray, n: int) -> list[tuple[int, int]]:
-        """The ``n`` most promising (tree, leaf) for a query: the queue is ordered by the worst margin on the way down."""
+        """The ``n`` most promising (tree, leaf) for a query, of all trees: the queue is ordered by the squared distances to the planes passed on their wrong sides."""
         inner = self.planes.shape[1]
         margin = self.planes[:, :, :-1] @ q - self.offsets
-        queue = [(-np.inf, t, 0) for t in range(len(self.planes))]
+        queue = [(0.0, t, 0) for t in range(len(self.planes))]
         out = []
         while queue and len(out) < n:
-            worst, t, node = heapq.heappop(queue)
+            cost, t, node = heapq.heappop(queue)
             if node >= inner:
                 out.append((t, node - inner))
                 continue
             m = float(margin[t, node])
-            heapq.heappush(queue, (max(worst, m), t, 2 * node + 1))
-            heapq.heappush(queue, (max(worst, -m), t, 2 * node + 2))
+            heapq.heappush(queue, (cost + max(m, 0.0) ** 2, t, 2 * node + 1))
+            heapq.heappush(queue, (cost + min(m, 0.0) ** 2, t, 2 * node + 2))
         return out
 
 
-def fit_forest(sample: np.ndarray, radius: float, trees: int = TREES, depth: int = DEPTH, seed: int = 7) -> Forest:
+def depth_for(vectors: int) -> int:
+    """Levels of planes for so many distinct vectors; the sample's bound is that of the leaves, too."""
+    if vectors < ONE_LEAF:
+        return 0
+    return min(round(math.log2(vectors / LEAF)), int(math.log2(SAMPLE_ROWS / SAMPLE_PER_LEAF)))
+
+
+def visits_for(vectors: int, depth: int) -> int:
+    """Leaves in which a query meets about ``MEETS`` vectors."""
+    return math.ceil(MEETS * (1 << depth) / vectors)
+
+
+def fit_forest(sample: np.ndarray, radius: float, trees: int, depth: int, seed: int = 7) -> Forest:
     """Each plane separates two random points of its cell, drawn to the means of their sides, at the median."""
     rng = np.random.default_rng(seed)
-    depth = max(0, min(depth, int(np.log2(max(1, len(sample)) / 64)) if len(sample) >= 64 else 0))
     forest = Forest(np.zeros((trees if depth else 1, (1 << depth) - 1, sample.shape[1] + 1)), np.zeros((trees if depth else 1, (1 << depth) - 1)), radius)
     x = forest.lifted(sample)
     for t in range(len(forest.planes)):
@@ -103,13 +117,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
 
 
+def _kind(rows: DataFrame, vector_col: str) -> str:
+    """Vectors of floats stay so; all others are doubles."""
+    return "float" if rows.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
+
+
+def _components(rows: DataFrame, vector_col: str):
+    kind = _kind(rows, vector_col)
+    return F.transform(vector_col, lambda x: x.cast(kind))
+
+
 def distinct_vectors(rows: DataFrame, id_col: str, vector_col: str, keep: int) -> DataFrame:
     """``vid, vec, ids``: a row per distinct usable vector, with its ``keep`` smallest ids; ``vid`` is the smallest.
 
     Spark limits the ranked groups before the shuffle, so a vector of any number of rows costs ``keep`` rows a task.
     Vectors of another dimension than the most frequent one take no part.
     """
-    vec = F.transform(vector_col, lambda x: x.cast("float"))
+    vec = _components(rows, vector_col)
     usable = rows.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec")).where("id is not null and vec is not null and size(vec) > 0")
     usable = usable.where(F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0))
     size = usable.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -161,26 +185,29 @@ def _rerank(top: int):
     return rerank
 
 
-def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 20, trees: int = TREES, depth: int = DEPTH, visits: int = VISITS) -> DataFrame:
+def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 20, trees: int = TREES, visits: int | None = None, depth: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``top`` rows found for each row of ``queries`` (ids of ``rows``), but itself.
 
-    The nearest by inner product come first, ties by the smaller id. Vectors that are null, zero or hold null or
-    non-finite components take no part, on either side. Equal vectors are searched once and expanded from their
-    smallest ids, so a vector that many rows share costs no more. Leaves are compared in blocks of bounded size.
-    A table of fewer than 128 distinct vectors is one leaf and the result is exact; an empty table gives no rows.
+    The nearest by inner product come first, ties by the smaller id; scores are in double precision on the components as
+    they are. Vectors that are null, zero or hold null or non-finite components take no part, on either side. Equal
+    vectors are searched once and expanded from their smallest ids, so a vector that many rows share costs no more.
+    Leaves are compared in blocks of bounded size. A table of fewer than ``ONE_LEAF`` distinct vectors is one leaf and
+    the result is exact; larger ones have leaves of about ``LEAF`` vectors. An empty table gives no rows.
     """
-    spark = rows.sparkSession
+    spark, kind = rows.sparkSession, _kind(rows, vector_col)
     vectors = written(distinct_vectors(rows, id_col, vector_col, top + 1), "vectors")
-    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.transform(vector_col, lambda x: x.cast("float")).alias("vec")).where("query_id is not null").dropDuplicates(["query_id"])
+    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.transform(vector_col, lambda x: x.cast(kind)).alias("vec")).where("query_id is not null").dropDuplicates(["query_id"])
     asked = written(asked.join(vectors.select("vid", "vec"), "vec").select("query_id", "vid"), "queries")
-    radius = vectors.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x)).alias("r")).first()["r"]
-    sample = vectors.select("vec").orderBy(F.xxhash64("vid"), "vid").limit(SAMPLE_ROWS).toArrow().column(0).combine_chunks()
-    if not len(sample):
+    known = vectors.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x)).alias("r"), F.count("*").alias("n")).first()
+    if not known["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    shared = spark.sparkContext.broadcast(fit_forest(_matrix(sample), float(np.sqrt(radius)), trees, depth))
-    kind = "tree int, leaf int, vid long, vec array<float>"
-    routed = vectors.select("vid", "vec").mapInArrow(_router(shared), kind)
-    sought = asked.select("vid").distinct().join(vectors.select("vid", "vec"), "vid").mapInArrow(_visitor(shared, visits), kind)
+    depth = depth_for(known["n"]) if depth is None else depth
+    visits = visits_for(known["n"], depth) if visits is None else visits
+    sample = vectors.select("vec").orderBy(F.xxhash64("vid"), "vid").limit(min(SAMPLE_ROWS, SAMPLE_PER_LEAF << depth)).toArrow().column(0).combine_chunks()
+    shared = spark.sparkContext.broadcast(fit_forest(_matrix(sample), float(np.sqrt(known["r"])), trees if depth else 1, depth))
+    row = f"tree int, leaf int, vid long, vec array<{kind}>"
+    routed = vectors.select("vid", "vec").mapInArrow(_router(shared), row)
+    sought = asked.select("vid").distinct().join(vectors.select("vid", "vec"), "vid").mapInArrow(_visitor(shared, visits), row)
     # How many blocks a leaf takes on either side; a row per leaf of the forest, whatever the input's size.
     blocks = lambda side, name: side.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
     sizes = F.broadcast(written(blocks(routed, "v_blocks").join(blocks(sought, "q_blocks"), ["tree", "leaf"]), "leaves"))
