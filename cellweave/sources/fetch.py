@@ -43,6 +43,7 @@ def download(url: str, dest: Path, post: dict[str, str] | None = None, timeout:
 def first_answer(urls: Sequence[str], folder: Path, get: Callable[[str, Path], Path] = download) -> Path:
     """The file of the first of ``urls`` that is in the folder or can be had; the error names what each of them said."""
     said = []
+    folder.mkdir(parents=True, exist_ok=True)
     for url in urls:
         dest = folder / Path(urllib.parse.urlparse(url).path).name
         try:
