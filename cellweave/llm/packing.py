@@ -8,6 +8,7 @@ each gets its rank among the pieces of its length, and ranges of ranks are mappe
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from bisect import bisect_left, insort
@@ -57,10 +58,25 @@ def _marks_apart(run: bytes) -> bytes:
     return low
 
 
+#: The splitter's pattern and the normalizer's steps for which texts may be encoded word by word.
+_SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
+def goes_by_words(library) -> bool:
+    """Whether this tokenizer gives a text's ids as its words' ids in turn: its normalizer, splitter and special strings are those that ``WordEncoder`` is made for."""
+    own = json.loads(library.to_str())
+    steps = (own["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    split = steps[0].get("pattern") == {"Regex": _SPLITTER} and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True
+    level = [x.get("type") for x in steps[1:]] == ["ByteLevel"] and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+    special = all(t["content"].startswith("<|") and not any(c.isspace() for c in t["content"]) for t in own["added_tokens"])
+    return split and level and special and (own["normalizer"] or {}).get("normalizers") == _NORMALIZER and not own["post_processor"]
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian 32-bit numbers, word by word with a bounded cache.
 
-    ASCII white space never meets other characters in this tokenizer: its normalizer neither composes nor
+    Tokenizers for which ``goes_by_words`` doesn't hold encode whole texts. For the others, ASCII white space never meets other characters in this tokenizer: its normalizer neither composes nor
     lower-cases across it, its splitter drops it, and special strings hold none. So a text's ids are its words'
     ids in turn. ASCII letters may be lower-cased and marks set apart from letters beforehand, which leaves fewer
     distinct words, but not where a special string may stand.
@@ -72,6 +88,9 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.library, self.cache = Tokenizer.from_file(path), {}
+        self.by_words = goes_by_words(self.library)
+        self.library.no_truncation()
+        self.library.no_padding()
         self.steps = self.library.normalizer, self.library.pre_tokenizer
         # Lower-case words of plain letters pass the normalizer and the splitter unchanged, so these are left out for them.
         self.plain_steps = None, Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -99,6 +118,8 @@ class WordEncoder:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text; new words of many texts are encoded together."""
+        if not self.by_words:
+            return [np.array(self.library.encode(t.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
         out: list[list[bytes]] = [[] for _ in texts]
         group, held = [], 0
         for k, text in enumerate(texts):

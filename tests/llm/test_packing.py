@@ -26,6 +26,15 @@ def test_encoder_equals_the_library(library, spark, sf):
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_other_tokenizers_encode_whole_texts():
+    path = P.path("byte_bpe_50k.json")
+    other, encode = Tokenizer.from_file(path), WordEncoder(path)
+    assert not encode.by_words and WordEncoder(PATH).by_words
+    texts = ["Hello there,  two spaces\nand LINES", "don't <|endoftext|> x", "", "É 中文 😀"]
+    for t, ids in zip(texts, encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == other.encode(t, add_special_tokens=False).ids
+
+
 def test_random_texts_equal_the_library(library):
     rng = random.Random(5)
     encode, alphabet = WordEncoder(PATH), list("abcXYZ019 ,.'!-\t\n") + ["é", "É", "ß", "×", "—", "\u0301", "\x01", "\u00a0", "\u0130", "中", "<|", "|>", "'s", "'RE", "ſ"]
