@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cellweave.llm.ann import op1_nearest
 from cellweave.llm.decontaminate import op8_decontamination
+from cellweave.llm.kmeans import op11_kmeans, op11_sql
 from cellweave.llm.line_dedup import op6_line_dedup
 from cellweave.llm.licenses import op2_licenses, op2_sql
 from cellweave.llm.packing import op5_packing
@@ -26,8 +27,9 @@ def queries() -> dict:
         "op8_decontamination": op8_decontamination,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_token_counts": op10_token_counts,
+        "op11_kmeans": op11_kmeans,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licenses": op2_sql()}
+    return {"op2_licenses": op2_sql(), "op11_kmeans": op11_sql()}
