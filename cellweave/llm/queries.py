@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cellweave.llm.ann import op1_nearest
+from cellweave.llm.chat import op12_chat_formatting, op12_sql
 from cellweave.llm.decontaminate import op8_decontamination
 from cellweave.llm.kmeans import op11_kmeans, op11_sql
 from cellweave.llm.line_dedup import op6_line_dedup
@@ -28,8 +29,9 @@ def queries() -> dict:
         "op9_substring_dedup": op9_substring_dedup,
         "op10_token_counts": op10_token_counts,
         "op11_kmeans": op11_kmeans,
+        "op12_chat_formatting": op12_chat_formatting,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licenses": op2_sql(), "op11_kmeans": op11_sql()}
+    return {"op2_licenses": op2_sql(), "op11_kmeans": op11_sql(), "op12_chat_formatting": op12_sql()}
