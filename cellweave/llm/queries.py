@@ -6,6 +6,7 @@ from cellweave.llm.ann import op1_nearest
 from cellweave.llm.chat import op12_chat_formatting, op12_sql
 from cellweave.llm.decontaminate import op8_decontamination
 from cellweave.llm.kmeans import op11_kmeans, op11_sql
+from cellweave.llm.lexical import op13_lexical_search, op13_sql
 from cellweave.llm.line_dedup import op6_line_dedup
 from cellweave.llm.licenses import op2_licenses, op2_sql
 from cellweave.llm.packing import op5_packing
@@ -30,8 +31,9 @@ def queries() -> dict:
         "op10_token_counts": op10_token_counts,
         "op11_kmeans": op11_kmeans,
         "op12_chat_formatting": op12_chat_formatting,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licenses": op2_sql(), "op11_kmeans": op11_sql(), "op12_chat_formatting": op12_sql()}
+    return {"op2_licenses": op2_sql(), "op11_kmeans": op11_sql(), "op12_chat_formatting": op12_sql(), "op13_lexical_search": op13_sql()}
