@@ -24,7 +24,7 @@ from cellweave.llm.common import bounded, read_table, text_of, written
 #: Results for each item.
 TOP = 20
 #: Postings of the searched terms that a shard holds at most (or those of one document, if more).
-SHARD_POSTINGS = 1 << 21
+SHARD_POSTINGS = 1 << 19
 #: Rows of the items' terms that one pass broadcasts, and rows of a vocabulary that a join broadcasts.
 PASS_TERMS, FEW_TERMS = 200_000, 500_000
 #: Postings that stay together when blocks are chosen, the most such units in a block, and what a block must save in bound
