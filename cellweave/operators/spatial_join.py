@@ -28,10 +28,10 @@ def _span(low: str, high: str, tile: float) -> Column:
     return F.sequence(F.floor(F.col(low) / tile), F.floor(F.col(high) / tile))
 
 
-def box_join(left: DataFrame, right: DataFrame, tile: float = TILE) -> DataFrame:
+def box_join(left: DataFrame, right: DataFrame, tile: float = TILE, on: list[str] | None = None) -> DataFrame:
     """All pairs whose boxes (``xmin, ymin, xmax, ymax`` on both sides) meet, each once; the boxes go.
 
-    Other columns' names must differ between the sides.
+    Columns in ``on`` must be equal, too; the names of all others must differ between the sides.
     """
     box = ("xmin", "ymin", "xmax", "ymax")
     a = left.withColumnsRenamed({c: f"{c}_a_" for c in box})
@@ -40,7 +40,7 @@ def box_join(left: DataFrame, right: DataFrame, tile: float = TILE) -> DataFrame
     b = b.withColumn("tx_", F.explode(_span("xmin_b_", "xmax_b_", tile))).withColumn("ty_", F.explode(_span("ymin_b_", "ymax_b_", tile)))
     meet = "xmin_a_ <= xmax_b_ and xmin_b_ <= xmax_a_ and ymin_a_ <= ymax_b_ and ymin_b_ <= ymax_a_"
     own_tile = (F.floor(F.greatest("xmin_a_", "xmin_b_") / tile) == F.col("tx_")) & (F.floor(F.greatest("ymin_a_", "ymin_b_") / tile) == F.col("ty_"))
-    return a.join(b, ["tx_", "ty_"]).where(meet).where(own_tile).drop("tx_", "ty_", *[f"{c}_{s}_" for c in box for s in "ab"])
+    return a.join(b, [*(on or ()), "tx_", "ty_"]).where(meet).where(own_tile).drop("tx_", "ty_", *[f"{c}_{s}_" for c in box for s in "ab"])
 
 
 def intersecting(cells: DataFrame, features: DataFrame, cell_geom: str, geom: str, measure: str, tile: float = TILE) -> DataFrame:
