@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from functools import cache
 
 import numpy as np
@@ -9,49 +10,81 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.geo import crs, hexgrid, shapes
+from cellweave.geo import batch, crs, hexgrid, shapes
 
 BOX = "struct<xmin: double, ymin: double, xmax: double, ymax: double>"
 
 
-def _each(kind: str, f):
-    """A UDF of one or more columns by row; null if any input is null or an empty shape gives none."""
+def _series(n: int, kind: str, f):
+    """A pandas UDF of ``n`` columns that gets whole batches."""
 
     def run(*columns: pd.Series) -> pd.Series:
-        return pd.Series([None if any(v is None or v != v for v in row) else f(*row) for row in zip(*columns, strict=True)], dtype=object)
+        return pd.Series(f(*columns))
 
-    if kind.startswith("struct"):
+    def frame(*columns: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(f(*columns), columns=["xmin", "ymin", "xmax", "ymax"], dtype=np.float64)
 
-        def frame(*columns: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([x if x is not None else (None,) * 4 for x in run(*columns)], columns=["xmin", "ymin", "xmax", "ymax"], dtype=np.float64)
+    made = frame if kind.startswith("struct") else run
+    made.__annotations__ = {"columns": pd.Series, "return": pd.DataFrame if made is frame else pd.Series}
+    return F.pandas_udf(made, kind)
 
-        frame.__annotations__ = {"return": pd.DataFrame}
-        return F.pandas_udf(_typed(frame, run), kind)
-    return F.pandas_udf(_typed(run, run), kind)
 
+def _known(values: np.ndarray, *columns: pd.Series) -> np.ndarray:
+    """The values, none where a column is null."""
+    bad = np.logical_or.reduce([c.isna().to_numpy() for c in columns])
+    if values.dtype == bool:
+        values = values.astype(object)
+    values[bad] = None if values.dtype == object else np.nan
+    return values
 
-def _typed(f, run):
-    f.__annotations__ = {"columns": pd.Series, "return": f.__annotations__.get("return", pd.Series)}
-    return f
+
+def _pair(f):
+    """Of two columns of shapes, each distinct one is read once."""
+
+    def run(one: pd.Series, other: pd.Series) -> np.ndarray:
+        (a, i), (b, j) = batch.unique(one), batch.unique(other)
+        return _known(f(a, i, b, j), one, other)
+
+    return run
+
+
+def _ends(last: bool):
+    def run(geom: pd.Series) -> list:
+        b = batch.Batch(geom)
+        has = b.start[:-1] < b.start[1:]
+        xy = b.b[b.start[1:][has] - 1] if last else b.a[b.start[:-1][has]]
+        out = [None] * b.n
+        for k, p in zip(np.flatnonzero(has).tolist(), xy.tolist(), strict=True):
+            out[k] = p
+        return out
+
+    return run
+
+
+def _centroid(axis: int):
+    def run(geom: pd.Series) -> np.ndarray:
+        return np.array([np.nan if v is None or (c := shapes.centroid(shapes.read_wkb(v))) is None else c[axis] for v in geom], np.float64)
+
+    return run
 
 
 @cache
 def _made() -> dict:
-    read, s = shapes.read_wkb, shapes
+    one = batch.Batch
     return {
-        "area": _each("double", lambda g: s.area(read(g))),
-        "length": _each("double", lambda g: s.length(read(g))),
-        "box": _each(BOX, lambda g: s.bounds(read(g))),
-        "centroid_x": _each("double", lambda g: (s.centroid(read(g)) or (None, None))[0]),
-        "centroid_y": _each("double", lambda g: (s.centroid(read(g)) or (None, None))[1]),
-        "start": _each("array<double>", lambda g: s.vertices(read(g))[0].tolist()),
-        "end": _each("array<double>", lambda g: s.vertices(read(g))[-1].tolist()),
-        "intersects": _each("boolean", lambda a, b: s.intersects(read(a), read(b))),
-        "distance": _each("double", lambda a, b: s.distance(read(a), read(b))),
-        "overlap": _each("double", lambda cell, g: s.overlap_with_convex(read(cell), read(g))),
-        "to_grid": _each("binary", lambda g: s.write_wkb(s.mapped(read(g), crs.to_grid_np))),
-        "to_lonlat": _each("binary", lambda g: s.write_wkb(s.mapped(read(g), crs.to_lonlat_np))),
-        "n_parts": _each("int", lambda g: len(read(g)[1])),
+        "area": _series(1, "double", lambda g: _known(one(g).areas(), g)),
+        "length": _series(1, "double", lambda g: _known(one(g).lengths(), g)),
+        "box": _series(1, BOX, lambda g: one(g).boxes()),
+        "centroid_x": _series(1, "double", _centroid(0)),
+        "centroid_y": _series(1, "double", _centroid(1)),
+        "start": _series(1, "array<double>", _ends(False)),
+        "end": _series(1, "array<double>", _ends(True)),
+        "intersects": _series(2, "boolean", _pair(lambda a, i, b, j: batch.distances(a, i, b, j) <= shapes.EPS)),
+        "distance": _series(2, "double", _pair(batch.distances)),
+        "overlap": _series(2, "double", _pair(batch.overlaps)),
+        "to_grid": _series(1, "binary", lambda g: batch.mapped(g, crs.to_grid_np)),
+        "to_lonlat": _series(1, "binary", lambda g: batch.mapped(g, crs.to_lonlat_np)),
+        "n_rings": _series(1, "int", lambda g: np.bincount((b := one(g)).ring_row[b.kind[b.ring_row] == shapes.POLYGON], minlength=b.n)),
     }
 
 
@@ -95,16 +128,9 @@ def st_overlap(cell, geom) -> Column:
 @cache
 def _contains():
     def contains(geom: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-        """Each distinct polygon of a batch is read once and takes all its points together."""
+        polygons, which = batch.unique(geom)
         xy = np.stack([x.to_numpy(np.float64), y.to_numpy(np.float64)], axis=1)
-        out = np.full(len(xy), None, object)
-        which, found = pd.factorize(geom)
-        order = np.argsort(which, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(which[order])) + 1):
-            if len(rows) and which[rows[0]] >= 0:
-                rows = rows[~np.isnan(xy[rows]).any(axis=1)]
-                out[rows] = shapes.contains_points(shapes.read_wkb(found[which[rows[0]]]), xy[rows]) if len(rows) else None
-        return pd.Series(out, dtype=object)
+        return pd.Series(_known(batch.contained(polygons, which, xy), geom, x, y))
 
     contains.__annotations__ = {"geom": pd.Series, "x": pd.Series, "y": pd.Series, "return": pd.Series}
     return F.pandas_udf(contains, "boolean")
@@ -152,37 +178,55 @@ def with_lonlat(df: DataFrame, east: str, north: str, lon: str, lat: str) -> Dat
     return df.withColumn("at_", _turned(False)(east, north)).withColumns({lon: F.col("at_.a"), lat: F.col("at_.b")}).drop("at_")
 
 
-@cache
-def _point():
-    def point(x: pd.Series, y: pd.Series) -> pd.Series:
-        xy = np.stack([x.to_numpy(np.float64), y.to_numpy(np.float64)], axis=1)
-        return pd.Series([None if np.isnan(p).any() else b"\x01\x01\x00\x00\x00" + p.astype("<f8").tobytes() for p in xy], dtype=object)
+def _written(n: int, head: bytes, order: tuple[int, ...]):
+    """WKB of one layout from ``n`` columns of doubles."""
 
-    point.__annotations__ = {"x": pd.Series, "y": pd.Series, "return": pd.Series}
-    return F.pandas_udf(point, "binary")
+    def build(*columns: pd.Series) -> pd.Series:
+        values = [c.to_numpy(np.float64) for c in columns]
+        return pd.Series(batch.layout(head, *[values[k] for k in order]), dtype=object)
 
+    build.__annotations__ = {"columns": pd.Series, "return": pd.Series}
+    return F.pandas_udf(build, "binary")
 
-def _shape_of(make):
-    def build(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-        return pd.Series([shapes.write_wkb(make(*row)) for row in zip(a, b, c, d, strict=True)], dtype=object)
 
-    return F.pandas_udf(build, "binary")
+@cache
+def _point():
+    return _written(2, struct.pack("<BI", 1, 1), (0, 1))
 
 
 @cache
 def _rectangle():
-    return _shape_of(lambda a, b, c, d: shapes.polygon([(a, b), (c, b), (c, d), (a, d)]))
+    return _written(4, struct.pack("<BIII", 1, 3, 1, 5), (0, 1, 2, 1, 2, 3, 0, 3, 0, 1))
 
 
 @cache
 def _line():
-    return _shape_of(lambda a, b, c, d: (shapes.LINE, [np.array([(a, b), (c, d)], np.float64)]))
+    return _written(4, struct.pack("<BII", 1, 2, 2), (0, 1, 2, 3))
 
 
 def st_rectangle(xmin, ymin, xmax, ymax) -> Column:
     return _rectangle()(*[(F.col(c) if isinstance(c, str) else c).cast("double") for c in (xmin, ymin, xmax, ymax)])
 
 
+@cache
+def _polygon():
+    def build(rings: pd.Series) -> pd.Series:
+        return pd.Series([None if r is None else shapes.write_wkb((shapes.POLYGON, [[np.array([(p["x"], p["y"]) for p in ring], np.float64) for ring in r]])) for r in rings], dtype=object)
+
+    build.__annotations__ = {"rings": pd.Series, "return": pd.Series}
+    return F.pandas_udf(build, "binary")
+
+
+def st_polygon(rings: Column) -> Column:
+    """A polygon from an array of closed rings, each an array of (x, y) structs of doubles."""
+    return _polygon()(rings)
+
+
+def st_rings(geom) -> Column:
+    """The number of rings of a polygon's parts together."""
+    return _made()["n_rings"](geom)
+
+
 def st_line(x1, y1, x2, y2) -> Column:
     """A straight line between two points."""
     return _line()(x1, y1, x2, y2)

@@ -13,6 +13,7 @@ Nothing here holds a polygon, let alone a class of them, in one place. Coordinat
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,8 +42,20 @@ _XY = ("x1", "y1", "x2", "y2")
 # ---- polygons to edges ----
 
 
+def convex(ring: np.ndarray) -> bool:
+    """Whether a closed ring turns to one side at every vertex, and goes round once."""
+    d = np.diff(ring.astype(np.float64), axis=0)
+    turn = d[:, 0] * np.roll(d[:, 1], -1) - d[:, 1] * np.roll(d[:, 0], -1)
+    if not ((turn > 0).all() or (turn < 0).all()):
+        return False
+    way = np.sign(d[d[:, 0] != 0, 0])
+    return int((way != np.roll(way, -1)).sum()) == 2
+
+
 def tangled(rings: list[np.ndarray]) -> bool:
     """Whether edges of the closed rings meet anywhere but where one ring's neighbours do, or two rings touch in a vertex of both."""
+    if len(rings) == 1 and convex(rings[0]):
+        return False
     a, b = np.concatenate([r[:-1] for r in rings]).astype(np.float64), np.concatenate([r[1:] for r in rings]).astype(np.float64)
     if len(a) > LOOK or any(len(np.unique(r[:-1], axis=0)) < len(r) - 1 for r in rings):
         return True
@@ -312,22 +325,51 @@ def _end(a: np.ndarray, b: np.ndarray) -> str:
     return f"{a[0]},{a[1]},{b[0]},{b[1]}"
 
 
+def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list[pa.Array]]]:
+    """The groups of sorted batches: their keys, the first ``n_keys`` columns, and the other columns. A group is held at a time."""
+    key, held = None, []
+    for batch in batches:
+        keys = list(zip(*(c.to_pylist() for c in batch.columns[:n_keys]), strict=True))
+        starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+        for a, b in zip(starts, [*starts[1:], len(keys)], strict=True):
+            if keys[a] != key:
+                if held:
+                    yield key, [pa.chunked_array(c).combine_chunks() for c in zip(*held, strict=True)]
+                key, held = keys[a], []
+            held.append([c.slice(a, b - a) for c in batch.columns[n_keys:]])
+    if held:
+        yield key, [pa.chunked_array(c).combine_chunks() for c in zip(*held, strict=True)]
+
+
+def _rows(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
+    for part in itertools.batched(rows, size):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), schema, strict=True)], schema=schema)
+
+
+def _grouped(df: DataFrame, keys: list[str], f: Callable[..., Iterator[tuple]], schema: str) -> DataFrame:
+    """``f(key, *columns)`` gives the rows of each group; groups meet sorted in a task, one after the other."""
+    arrow = pa.schema([(n, {"string": pa.string(), "binary": pa.binary()}[t]) for n, t in (c.split() for c in schema.split(", "))])
+    sorted_ = df.select(*keys, *[c for c in df.columns if c not in keys]).repartition(*keys).sortWithinPartitions(*keys)
+    return sorted_.mapInArrow(lambda batches: _rows((row for key, columns in _groups(batches, len(keys)) for row in f(key, *columns)), arrow), schema)
+
+
 def _tile_walk(tile: int):
-    def walk(frame: pd.DataFrame) -> pd.DataFrame:
-        k, tx, ty = frame["k"].iloc[0], frame["tx"].iloc[0], frame["ty"].iloc[0]
-        xy = frame[list(_XY)].to_numpy(np.int64)
+    def walk(key: tuple, *columns: pa.Array) -> Iterator[tuple]:
+        k, tx, ty = key
+        xy = np.stack([c.to_numpy() for c in columns], axis=1)
         here = np.stack([(xy[:, i] // tile == tx) & (xy[:, i + 1] // tile == ty) for i in (0, 2)], axis=1)
         rings, chains = walked(xy, here)
-        rows = [(k, None, None, r.tobytes()) for r in rings] + [(k, _end(*c[:2]), _end(*c[-2:]), c[1:].tobytes()) for c in chains]
-        return pd.DataFrame(rows, columns=["k", "head", "tail", "xy"])
+        for r in rings:
+            yield k, None, None, r.tobytes()
+        for c in chains:
+            yield k, _end(*c[:2]), _end(*c[-2:]), c[1:].tobytes()
 
     return walk
 
 
-def _joined(frame: pd.DataFrame) -> pd.DataFrame:
+def _joined(key: tuple, heads: pa.Array, tails: pa.Array, xys: pa.Array) -> Iterator[tuple]:
     """The ring of a group of chains: each goes on with the one whose head is its tail. A chain ends with the first vertex of the next."""
-    start = {h: (t, np.frombuffer(xy, np.int64).reshape(-1, 2)) for h, t, xy in zip(frame["head"], frame["tail"], frame["xy"], strict=True)}
-    rows, k = [], frame["k"].iloc[0]
+    start = {h: (t, np.frombuffer(xy, np.int64).reshape(-1, 2)) for h, t, xy in zip(heads.to_pylist(), tails.to_pylist(), xys.to_pylist(), strict=True)}
     while start:
         first = at = next(iter(start))
         parts = []
@@ -337,8 +379,7 @@ def _joined(frame: pd.DataFrame) -> pd.DataFrame:
         if at != first:
             raise ValueError(f"an outline does not close at {at}")
         ring = np.concatenate(parts)
-        rows.append((k, np.vstack([ring, ring[:1]]).tobytes()))
-    return pd.DataFrame(rows, columns=["k", "xy"])
+        yield key[0], np.vstack([ring, ring[:1]]).tobytes()
 
 
 def _loops(grain: float):
@@ -372,12 +413,12 @@ def polygons_of(edges: DataFrame, tile: int = TILE, grain: float = GRAIN) -> Dat
     edges = written(edges, "outline")
     tiles = [F.struct(F.floor(F.col(x) / tile).alias("tx"), F.floor(F.col(y) / tile).alias("ty")) for x, y in (("x1", "y1"), ("x2", "y2"))]
     placed = edges.withColumn("t", F.explode(F.array_distinct(F.array(*tiles)))).select("k", "t.tx", "t.ty", *_XY)
-    walks = written(placed.groupBy("k", "tx", "ty").applyInPandas(_tile_walk(tile), "k string, head string, tail string, xy binary"), "walks")
+    walks = written(_grouped(placed, ["k", "tx", "ty"], _tile_walk(tile), "k string, head string, tail string, xy binary"), "walks")
     chains = walks.where("head is not null")
     full = lambda c: F.concat("k", F.lit("|"), c)
     rings = connected_components(chains.select(full("head").alias("a"), full("tail").alias("b")))
     grouped = chains.withColumn("node", full("head")).join(rings, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    closed = grouped.groupBy("k", "component").applyInPandas(_joined, "k string, xy binary")
+    closed = _grouped(grouped.select("k", "component", "head", "tail", "xy"), ["k", "component"], _joined, "k string, xy binary")
     loops = written(walks.where("head is null").select("k", "xy").unionByName(closed).mapInArrow(_loops(grain), "k string, ring string, size double, outer boolean, mid_x double, mid_y double, geom binary"), "rings")
     outers, holes = loops.where("outer"), loops.where("not outer")
     spots = holes.select("k", F.col("ring").alias("hole"), "mid_x", "mid_y", F.col("geom").alias("hole_geom"), *[F.col(f"mid_{v[0]}").alias(v) for v in ("xmin", "ymin", "xmax", "ymax")])

@@ -7,6 +7,8 @@ needed. Crowded tiles are split by Spark's adaptive skew join, for both sides ar
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +30,11 @@ def _span(low: str, high: str, tile: float) -> Column:
     return F.sequence(F.floor(F.col(low) / tile), F.floor(F.col(high) / tile))
 
 
-def box_join(left: DataFrame, right: DataFrame, tile: float = TILE, on: list[str] | None = None) -> DataFrame:
+def box_join(left: DataFrame, right: DataFrame, tile: float = TILE, on: list[str] | None = None, keep: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """All pairs whose boxes (``xmin, ymin, xmax, ymax`` on both sides) meet, each once; the boxes go.
 
-    Columns in ``on`` must be equal, too; the names of all others must differ between the sides.
+    Columns in ``on`` must be equal, too; the names of all others must differ between the sides. ``keep`` is a further condition
+    on the gaps between the boxes in x and y, negative where they overlap.
     """
     box = ("xmin", "ymin", "xmax", "ymax")
     a = left.withColumnsRenamed({c: f"{c}_a_" for c in box})
@@ -40,7 +43,11 @@ def box_join(left: DataFrame, right: DataFrame, tile: float = TILE, on: list[str
     b = b.withColumn("tx_", F.explode(_span("xmin_b_", "xmax_b_", tile))).withColumn("ty_", F.explode(_span("ymin_b_", "ymax_b_", tile)))
     meet = "xmin_a_ <= xmax_b_ and xmin_b_ <= xmax_a_ and ymin_a_ <= ymax_b_ and ymin_b_ <= ymax_a_"
     own_tile = (F.floor(F.greatest("xmin_a_", "xmin_b_") / tile) == F.col("tx_")) & (F.floor(F.greatest("ymin_a_", "ymin_b_") / tile) == F.col("ty_"))
-    return a.join(b, [*(on or ()), "tx_", "ty_"]).where(meet).where(own_tile).drop("tx_", "ty_", *[f"{c}_{s}_" for c in box for s in "ab"])
+    pairs = a.join(b, [*(on or ()), "tx_", "ty_"]).where(meet).where(own_tile)
+    if keep is not None:
+        gap = lambda v: F.greatest(F.col(f"{v}min_a_") - F.col(f"{v}max_b_"), F.col(f"{v}min_b_") - F.col(f"{v}max_a_"))
+        pairs = pairs.where(keep(gap("x"), gap("y")))
+    return pairs.drop("tx_", "ty_", *[f"{c}_{s}_" for c in box for s in "ab"])
 
 
 def intersecting(cells: DataFrame, features: DataFrame, cell_geom: str, geom: str, measure: str, tile: float = TILE) -> DataFrame:
@@ -61,15 +68,20 @@ def best_overlap(cells: DataFrame, features: DataFrame, cell_geom: str, geom: st
 
 def nearest_within(cells: DataFrame, features: DataFrame, cell_geom: str, geom: str, key: str, radius: float, tile: float = TILE) -> DataFrame:
     """``spatial_id, key, distance``: the nearest feature within ``radius`` (inclusive), a row per cell, nulls where there is none."""
-    pairs = box_join(with_box(cells.select("spatial_id", cell_geom), cell_geom), with_box(features.select(key, geom), geom, radius), tile)
+    # The features' boxes are grown by the radius, so a gap of less than minus the radius is that of the boxes themselves.
+    away = lambda gap: F.greatest(gap + radius, F.lit(0.0))
+    pairs = box_join(with_box(cells.select("spatial_id", cell_geom), cell_geom), with_box(features.select(key, geom), geom, radius), tile, keep=lambda x, y: away(x) * away(x) + away(y) * away(y) <= radius * radius * (1 + 1e-12))
     near = pairs.withColumn("distance", S.st_distance(cell_geom, geom)).where(F.col("distance") <= radius).select("spatial_id", key, "distance")
     best = best_per_group(near, ["spatial_id"], [F.asc_nulls_last("distance"), F.asc(key)])
     return cells.select("spatial_id").distinct().join(best, "spatial_id", "left")
 
 
-def containing(points: DataFrame, polygons: DataFrame, point_id: str, x: str, y: str, geom: str, key: str, tile: float = TILE) -> DataFrame:
-    """``points`` with the ``key`` of the polygon that strictly holds each, null where none does; of several the smallest key."""
-    spots = points.select(point_id, x, y, F.col(x).alias("xmin"), F.col(y).alias("ymin"), F.col(x).alias("xmax"), F.col(y).alias("ymax")).where(F.col(x).isNotNull() & F.col(y).isNotNull())
+def containing(points: DataFrame, polygons: DataFrame, x: str, y: str, geom: str, key: str, tile: float = TILE) -> DataFrame:
+    """``points`` with the ``key`` of the polygon that strictly holds each, null where none does; of several the smallest key.
+
+    Places are looked up once, whatever the number of points there and their ids: every row of ``points`` stays as it is.
+    """
+    spots = points.select(x, y, F.col(x).alias("xmin"), F.col(y).alias("ymin"), F.col(x).alias("xmax"), F.col(y).alias("ymax")).where(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
     pairs = box_join(spots, with_box(polygons.select(key, geom), geom), tile).where(S.st_contains(geom, x, y))
-    held = pairs.groupBy(point_id).agg(F.min(key).alias(key))
-    return points.join(held, point_id, "left")
+    held = pairs.groupBy(x, y).agg(F.min(key).alias(key))
+    return points.join(held, [x, y], "left").select(*points.columns, key)

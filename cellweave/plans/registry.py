@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import spatial as S
 from cellweave.geo import crs
+from cellweave.operators import overlay
 from cellweave.operators import relational as R
-from cellweave.operators.dissolve import dissolve
 from cellweave.operators.isochrone import isochrones
-from cellweave.operators.spatial_join import best_overlap, containing, intersecting, nearest_within
+from cellweave.operators.spatial_join import best_overlap, box_join, containing, intersecting, nearest_within, with_box
 from cellweave.storage import read_table
 
 SQL: dict[str, str] = {}
@@ -294,11 +294,16 @@ def nearest_within_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contains_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     pts = read_table(spark, sf_dir, "orders").select("o_orderkey", (F.floor(k * 613 % 50000 / 250) * 250).cast("double").alias("x"), (k * 409 % 50000).cast("double").alias("y"))
-    return containing(pts, _rects(spark, sf_dir).withColumnRenamed("code", "oa21cd"), "o_orderkey", "x", "y", "geom", "oa21cd").select("o_orderkey", "oa21cd")
+    return containing(pts, _rects(spark, sf_dir).withColumnRenamed("code", "oa21cd"), "x", "y", "geom", "oa21cd").select("o_orderkey", "oa21cd")
 
 
+# Overlays ----------------------------------------------------------------------------------------------------------
+
 #: A square of side 100 for each part, in rows of 40; neighbours of one class are dissolved.
 _SQUARES_SQL = "(SELECT DISTINCT p_partkey AS k, (p_partkey * 7919) % 5 < 3 AS urban FROM part)"
+#: The least label of each node over links, spread until nothing changes.
+_LABELS_SQL = """labels AS (SELECT * FROM (WITH RECURSIVE spread(k, label) USING KEY (k) AS (SELECT k, k FROM node
+  UNION SELECT l.b, min(s.label) FROM spread s JOIN link l ON l.a = s.k JOIN recurring.spread r ON r.k = l.b WHERE s.label < r.label GROUP BY l.b) SELECT k, label FROM spread))"""
 
 
 @query(f"SELECT urban, CAST(100.0 * 100.0 * count(*) AS DOUBLE) AS area FROM {_SQUARES_SQL} GROUP BY urban")
@@ -306,20 +311,77 @@ def dissolved_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dissolved(spark, sf_dir).groupBy("urban").agg(F.round(F.sum("area"), 3).alias("area"))
 
 
-@query()
+@query(f"""WITH node AS {_SQUARES_SQL}, link AS (SELECT a.k AS a, b.k AS b FROM node a JOIN node b ON a.urban = b.urban AND (b.k = a.k + 40 OR b.k = a.k - 40 OR (b.k = a.k + 1 AND b.k % 40 <> 0) OR (b.k = a.k - 1 AND a.k % 40 <> 0))), {_LABELS_SQL},
+  parts AS (SELECT urban, label, count(*) * 10000.0 AS area, min(k % 40) * 100.0 AS xmin, min(k // 40) * 100.0 AS ymin, max(k % 40) * 100.0 + 100 AS xmax, max(k // 40) * 100.0 + 100 AS ymax FROM node JOIN labels USING (k) GROUP BY urban, label)
+  SELECT urban, CAST(row_number() OVER (PARTITION BY urban ORDER BY area DESC, xmin, ymin, xmax, ymax) AS INT) AS gid, area::DOUBLE AS area, xmin::DOUBLE AS xmin, ymin::DOUBLE AS ymin, xmax::DOUBLE AS xmax, ymax::DOUBLE AS ymax FROM parts""")
 def dissolve_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The single outlines with their area and a surrogate id in a fixed order."""
+    """The single outlines' areas and bounds, with a surrogate id in a fixed order."""
+    return _numbered_parts(_dissolved(spark, sf_dir))
+
+
+def _numbered_parts(parts: DataFrame) -> DataFrame:
     from pyspark.sql import Window as W
 
-    parts = _dissolved(spark, sf_dir)
-    return parts.withColumn("gid", F.row_number().over(W.partitionBy("urban").orderBy(F.desc("area"), F.hex("geom"))))
+    found = parts.withColumn("area", F.round("area", 3)).withColumn("box", S.st_box("geom")).select("urban", "area", "box.*")
+    return found.withColumn("gid", F.row_number().over(W.partitionBy("urban").orderBy(F.desc("area"), "xmin", "ymin", "xmax", "ymax")))
 
 
 def _dissolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")).distinct()
     i, j = F.col("k") % 40 * 100, F.floor(F.col("k") / 40) * 100
     squares = cells.select("k", (F.col("k") * 7919 % 5 < 3).alias("urban"), S.st_rectangle(i, j, i + 100, j + 100).alias("geom"))
-    return dissolve(squares, "k", "urban", "geom").withColumnRenamed("class", "urban").withColumn("area", S.st_area("geom"))
+    return overlay.union(squares, ["urban"]).withColumn("area", S.st_area("geom"))
+
+
+#: Rectangles of two classes that overlap, contain and touch each other, on a raster of 50 m; their vertices lie anywhere on others' edges.
+_RASTER_SQL = """(SELECT DISTINCT p_partkey AS k, p_partkey % 2 = 0 AS urban, (p_partkey * 3571 % 50000) // 50 AS i, (p_partkey * 7727 % 50000) // 50 AS j, 2 * (p_partkey % 7 + 1) AS w, 2 * (p_partkey % 5 + 1) AS h FROM part)"""
+
+
+@query(f"""WITH node AS MATERIALIZED {_RASTER_SQL}, raster AS (SELECT k, urban, i + u AS i, j + v AS j FROM node, LATERAL (SELECT unnest(range(w)) AS u), LATERAL (SELECT unnest(range(h)) AS v)),
+  link AS MATERIALIZED (SELECT a.k AS a, b.k AS b FROM node a JOIN node b ON a.urban = b.urban AND a.k <> b.k AND a.i <= b.i + b.w AND b.i <= a.i + a.w AND a.j <= b.j + b.h AND b.j <= a.j + a.h
+    AND least(a.i + a.w, b.i + b.w) - greatest(a.i, b.i) + least(a.j + a.h, b.j + b.h) - greatest(a.j, b.j) > 0), {_LABELS_SQL},
+  parts AS (SELECT urban, label, count(DISTINCT i * 1000000 + j) * 2500.0 AS area, min(i) * 50.0 AS xmin, min(j) * 50.0 AS ymin, max(i) * 50.0 + 50 AS xmax, max(j) * 50.0 + 50 AS ymax FROM raster JOIN labels USING (k) GROUP BY urban, label)
+  SELECT urban, CAST(row_number() OVER (PARTITION BY urban ORDER BY area DESC, xmin, ymin, xmax, ymax) AS INT) AS gid, area::DOUBLE AS area, xmin::DOUBLE AS xmin, ymin::DOUBLE AS ymin, xmax::DOUBLE AS xmax, ymax::DOUBLE AS ymax FROM parts""")
+def union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The union of overlapping rectangles by class, dumped."""
+    k = F.col("p_partkey")
+    x, y = F.floor(k * 3571 % 50000 / 50) * 50, F.floor(k * 7727 % 50000 / 50) * 50
+    rects = read_table(spark, sf_dir, "part").select((k % 2 == 0).alias("urban"), S.st_rectangle(x, y, x + 100 * (k % 7 + 1), y + 100 * (k % 5 + 1)).alias("geom"))
+    return _numbered_parts(overlay.union(rects, ["urban"]).withColumn("area", S.st_area("geom")))
+
+
+@query("""SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN 2 ELSE 1 END AS parts, CASE p_partkey % 4 WHEN 0 THEN (p_partkey % 9 + 1) * 10.0 * 50 WHEN 1 THEN 10000.0 WHEN 2 THEN 10000.0 - 900 ELSE (p_partkey % 9 + 1) * 1000.0 END::DOUBLE AS area,
+  CASE WHEN p_partkey % 4 = 2 THEN 1 ELSE 0 END AS holes FROM part""")
+def make_valid_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each part's polygon, a bow-tie, one with a spike, one whose hole is drawn the wrong way round, or one drawn twice in part, what is valid."""
+    k = F.col("p_partkey")
+    ring = lambda *p: F.array(*[F.struct(F.lit(a).cast("double").alias("x"), F.lit(b).cast("double").alias("y")) for a, b in p])
+    x, y, w = k * 3571 % 50000, k * 7727 % 50000, (k % 9 + 1) * 10
+    at = lambda *p: ring(*[(x + a, y + b) for a, b in p])
+    rings = (
+        F.when(k % 4 == 0, F.array(at((0, 0), (w, 100), (w, 0), (0, 100), (0, 0))))
+        .when(k % 4 == 1, F.array(at((0, 0), (100, 0), (100, 100), (50, 100), (50, 180), (50, 100), (0, 100), (0, 0))))
+        .when(k % 4 == 2, F.array(at((0, 0), (100, 0), (100, 100), (0, 100), (0, 0)), at((30, 30), (60, 30), (60, 60), (30, 60), (30, 30))))
+        .otherwise(F.array(at((0, 0), (w, 0), (w, 100), (0, 100), (0, 0)), at((0, 0), (200, 0), (200, 50), (0, 50), (0, 0)), at((200, 0), (0, 0), (0, 50), (200, 50), (200, 0))))
+    )
+    raw = read_table(spark, sf_dir, "part").select(k.alias("id"), S.st_polygon(rings).alias("geom"))
+    valid = overlay.make_valid(raw, ["id"])
+    return valid.withColumns({"area": S.st_area("geom"), "holes": S.st_rings("geom") - 1}).groupBy("id").agg(F.count("*").cast("int").alias("parts"), F.round(F.sum("area"), 3).alias("area"), F.sum("holes").cast("int").alias("holes"))
+
+
+@query(f"""WITH pair AS (SELECT spatial_id, code, greatest(ax, cx) AS x1, least(bx, dx) AS x2, greatest(ay, cy) AS y1, least(ey, dy) AS y2, (3 * cx + 2 * dx) / 5.0 AS u, (2 * cx + 3 * dx) / 5.0 AS v, (cy + dy) / 2.0 AS h FROM {_CELLS_SQL} JOIN {_RECTS_SQL} ON ax < dx AND cx < bx AND ay < dy AND cy < ey WHERE urban),
+  cut AS (SELECT *, greatest(least(x2, v) - greatest(x1, u), 0) AS gap, greatest(y2 - greatest(y1, h), 0) AS deep FROM pair)
+  SELECT spatial_id, code, round((x2 - x1) * (y2 - y1) - gap * deep, 1) AS area, CASE WHEN y1 >= h AND gap > 0 THEN (x1 < u)::INT + (x2 > v)::INT ELSE 1 END AS parts FROM cut WHERE (x2 - x1) * (y2 - y1) - gap * deep > 0.001""")
+def intersection_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cells share with concave features, a rectangle with a notch of a fifth of its width down to half its height: in one part or in two."""
+    k = F.col("p_partkey")
+    ring = lambda *p: F.array(*[F.struct(a.cast("double").alias("x"), b.cast("double").alias("y")) for a, b in p])
+    x, y, w, h = k * 3571 % 50000, k * 7727 % 50000, 250 * (k % 7 + 1), 250 * (k % 5 + 1)
+    notched = ring((x, y), (x + w, y), (x + w, y + h), (x + 3 * w / 5, y + h), (x + 3 * w / 5, y + h / 2), (x + 2 * w / 5, y + h / 2), (x + 2 * w / 5, y + h), (x, y + h), (x, y))
+    features = read_table(spark, sf_dir, "part").where(k % 2 == 0).select(k.alias("code"), S.st_polygon(F.array(notched)).alias("geom"))
+    pairs = box_join(with_box(_cells(spark, sf_dir).select("spatial_id", "cell_geom"), "cell_geom"), with_box(features, "geom"))
+    shared = overlay.intersection(pairs, ["spatial_id", "code"], "cell_geom", "geom")
+    return shared.groupBy("spatial_id", "code").agg(F.round(F.sum(S.st_area("geom")), 1).alias("area"), F.count("*").cast("int").alias("parts")).where("area > 0.001")
 
 
 #: A street of 30 nodes, 100 m apart, for each supplier, and streets across; some pieces are left out. Walks of at most 300 m.

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.functions import spatial as S
+from cellweave.operators import overlay
 from cellweave.operators import relational as R
-from cellweave.operators.dissolve import dissolve
 from cellweave.operators.isochrone import graph_edges, graph_nodes, isochrones
 from cellweave.operators.spatial_join import containing
 from cellweave.sources import files
@@ -113,12 +113,12 @@ def greenspace(ctx: Context) -> DataFrame:
 
 
 def land_cover(ctx: Context) -> DataFrame:
-    """Built-up classes (over 19) dissolved into urban (20) and suburban (all others), with ids in a fixed order."""
+    """Built-up classes (over 19) repaired and united into urban (20) and suburban (all others), dumped, with ids in a fixed order."""
     from pyspark.sql import Window as W
 
     raw = files.read_geopackage(ctx.spark, ctx.source("land_cover"))
-    built = raw.where(F.col("_mode").cast("int") > 19).select("gid", (F.col("_mode").cast("int") == 20).alias("urban"), "geom")
-    parts = dissolve(built, "gid", "urban", "geom").withColumnRenamed("class", "urban")
+    built = raw.where(F.col("_mode").cast("int") > 19).select((F.col("_mode").cast("int") == 20).alias("urban"), "geom")
+    parts = overlay.union(built, ["urban"])
     least = parts.withColumn("box_", S.st_box("geom"))
     numbered = least.withColumn("gid", F.row_number().over(W.partitionBy("urban").orderBy("box_.xmin", "box_.ymin", F.hex("geom"))).cast("long"))
     # Odd ids for suburban, even ones for urban parts: unique without one global sort.
@@ -132,7 +132,7 @@ def buildings(ctx: Context) -> DataFrame:
     x, y = S.st_centroid("geom")
     placed = S.with_lonlat(once.withColumns({"x_": x, "y_": y}), "x_", "y_", "lon_", "lat_").withColumn("h3_9_id", S.cell_of("lat_", "lon_", 9))
     areas = ctx.extract("output_areas_2021").select(F.col("spatial_id").alias("oa21cd"), F.col("geom").alias("area_geom"))
-    return containing(placed, areas, "verisk_premise_id", "x_", "y_", "area_geom", "oa21cd").select(*keep, "oa21cd", "h3_9_id", "geom")
+    return containing(placed, areas, "x_", "y_", "area_geom", "oa21cd").select(*keep, "oa21cd", "h3_9_id", "geom")
 
 
 def retail_centres(ctx: Context) -> DataFrame:

@@ -40,6 +40,6 @@ def test_entry(spark):
     assert df.count() > 0 and df.columns[0] == "spatial_id"
 
 
-@pytest.mark.parametrize("name", ["h3_cells", "h3_area", "h3_boundary", "h3_crime_counts", "isochrone_area", "dissolve_parts"])
+@pytest.mark.parametrize("name", ["h3_cells", "h3_area", "h3_boundary", "h3_crime_counts", "isochrone_area"])
 def test_queries_without_sql_give_rows(spark, name):
     assert entry_module.queries()[name](spark, SF).count() > 0

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import spatial as S
 from cellweave.geo import shapes
-from cellweave.operators.dissolve import dissolve
 from cellweave.operators.isochrone import graph_edges, graph_nodes, isochrones
 from cellweave.operators.spatial_join import best_overlap, box_join, containing, intersecting, nearest_within
 
@@ -47,14 +46,14 @@ def test_nearest_within_is_inclusive_with_a_row_per_cell(spark):
 def test_points_on_a_shared_edge_lie_in_no_polygon(spark):
     pts = spark.createDataFrame([(1, 5.0, 5.0), (2, 10.0, 5.0), (3, 15.0, 5.0), (4, None, 1.0), (5, 99.0, 99.0)], "id int, x double, y double")
     areas = spark.createDataFrame([("A", box(0, 0, 10, 10)), ("B", box(10, 0, 20, 10))], "code string, geom binary")
-    assert {(r.id, r.code) for r in containing(pts, areas, "id", "x", "y", "geom", "code").collect()} == {(1, "A"), (2, None), (3, "B"), (4, None), (5, None)}
+    assert {(r.id, r.code) for r in containing(pts, areas, "x", "y", "geom", "code").collect()} == {(1, "A"), (2, None), (3, "B"), (4, None), (5, None)}
 
 
-def test_dissolve_with_a_hole_and_two_parts(spark):
-    squares = [(i * 10 + j, True, box(i * 10, j * 10, i * 10 + 10, j * 10 + 10)) for i in range(3) for j in range(3) if (i, j) != (1, 1)]
-    squares += [(100, True, box(200, 200, 210, 210)), (101, False, box(10, 10, 20, 20)), (102, False, None)]
-    got = sorted((r["class"], shapes.area(shapes.read_wkb(r.geom)), len(shapes.read_wkb(r.geom)[1][0])) for r in dissolve(spark.createDataFrame(squares, "id int, urban boolean, geom binary"), "id", "urban", "geom").collect())
-    assert got == [(False, 100.0, 1), (True, 100.0, 1), (True, 800.0, 2)]
+def test_rows_of_repeated_and_unknown_ids_keep_their_polygon(spark):
+    pts = spark.createDataFrame([(None, 5.0, 5.0), (None, 15.0, 5.0), (7, 5.0, 5.0), (7, 15.0, 5.0), (7, 15.0, 5.0)], "id int, x double, y double")
+    areas = spark.createDataFrame([("A", box(0, 0, 10, 10)), ("B", box(10, 0, 20, 10)), ("C", box(0, 0, 20, 10)), ("D", None)], "code string, geom binary")
+    got = sorted((r.id is None, r.x, r.code) for r in containing(pts, areas, "x", "y", "geom", "code").collect())
+    assert got == [(False, 5.0, "A"), (False, 15.0, "B"), (False, 15.0, "B"), (True, 5.0, "A"), (True, 15.0, "B")]
 
 
 def test_isochrones(spark):
