@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import graphlib
 import json
+import logging
 import os
 import shutil
 from collections.abc import Callable, Iterable, Mapping, Sequence
@@ -11,12 +12,28 @@ from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cellweave.steps.base import RESOLUTIONS, Relations, Step
 from cellweave.steps.datasets import Context, Dataset
 
 
+log = logging.getLogger("cellweave")
+
+
+@dataclass(frozen=True)
+class Extracted:
+    """Where a table is, and what its own write job counted: rows, and rows whose ``placed_by`` column is null."""
+
+    path: Path
+    rows: int | None = None
+    unplaced: int | None = None
+
+    def __str__(self) -> str:
+        return f"{self.path}" + (f": {self.rows:,} rows" if self.rows is not None else " (kept)") + (f", {self.unplaced:,} without a place" if self.unplaced is not None else "")
+
+
 @dataclass(frozen=True)
 class Outcome:
     """A result or the error that took its place."""
@@ -89,7 +106,10 @@ def read_path(spark: SparkSession, path: Path) -> DataFrame:
 
 
 def run_extracts(spark: SparkSession, datasets: Sequence[Dataset], folder: Path, source: Callable[[str], str], only: Sequence[str] = (), rebuild: bool = False, options: dict | None = None) -> dict[str, Outcome]:
-    """Extracts to Parquet folders; what exists is kept unless ``rebuild``. An optional one may fail; a required one's error is raised."""
+    """Extracts to Parquet folders; what exists is kept unless ``rebuild``. An optional one may fail; a required one's error is raised.
+
+    Rows are counted by the job that writes them, not by another one.
+    """
     check_registry(datasets)
     if unknown := set(only) - {d.name for d in datasets}:
         raise ValueError(f"unknown dataset {sorted(unknown)}; known: {', '.join(d.name for d in datasets)}")
@@ -98,12 +118,17 @@ def run_extracts(spark: SparkSession, datasets: Sequence[Dataset], folder: Path,
     tables = {d.name: d.table for d in datasets}
 
     def node(d: Dataset):
-        def run(_: dict[str, Outcome]) -> Path:
+        def run(_: dict[str, Outcome]) -> Extracted:
             path = folder / d.table
             if complete(path) and not rebuild:
-                return path
+                return Extracted(path)
             ctx = Context(spark, source, lambda n: read_path(spark, folder / tables[n]), (options or {}).get(d.name, {}))
-            return write_table(d.extract(ctx), path)
+            counted = Observation()
+            counts = [F.count(F.lit(1)).alias("rows"), *([F.count_if(F.col(d.placed_by).isNull()).alias("unplaced")] if d.placed_by else [])]
+            write_table(d.extract(ctx).observe(counted, *counts), path)
+            done = Extracted(path, **counted.get)
+            log.info("%s: %s", d.name, done)
+            return done
 
         return run, [x for x in d.depends_on if x in names]
 

@@ -1,7 +1,8 @@
 """Driver-side helpers that bring source files to a folder.
 
 A source is an entry of the JSON catalogue that says how it is had: ``urls`` (tried in turn; ``{day}`` stands for a date),
-``post`` (what is sent along), ``member`` (the file of an archive that is wanted), or ``manual`` (what a person has to do).
+``file`` (the name it gets), ``post`` or ``map`` (the form, or the map query, that is sent along), ``timeout`` (seconds), ``member`` (the file of an archive
+that is wanted), ``pattern`` (files that are it), ``features`` (a paged service that Spark reads), or ``manual`` (what a person has to do).
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from collections.abc import Callable, Iterable, Sequence
 from pathlib import Path
 
 _PIECE = 1 << 20
+#: Some servers refuse the library's own name.
+AGENT = "cellweave/1.0 (place analytics)"
+CATALOGUE = Path(__file__).with_name("sources.json")
 
 
 def _replaced(dest: Path, pieces: Iterable[bytes]) -> Path:
@@ -36,16 +40,16 @@ def _replaced(dest: Path, pieces: Iterable[bytes]) -> Path:
 def download(url: str, dest: Path, post: dict[str, str] | None = None, timeout: int = 60) -> Path:
     """What ``url`` answers, at ``dest``; ``post`` is sent as a form."""
     body = urllib.parse.urlencode(post).encode() if post else None
-    with urllib.request.urlopen(url, body, timeout=timeout) as answer:
+    with urllib.request.urlopen(urllib.request.Request(url, body, {"User-Agent": AGENT}), timeout=timeout) as answer:
         return _replaced(dest, iter(lambda: answer.read(_PIECE), b""))
 
 
-def first_answer(urls: Sequence[str], folder: Path, get: Callable[[str, Path], Path] = download) -> Path:
-    """The file of the first of ``urls`` that is in the folder or can be had; the error names what each of them said."""
+def first_answer(urls: Sequence[str], folder: Path, get: Callable[[str, Path], Path] = download, name: str | None = None) -> Path:
+    """The file (named as the address's last part, or ``name``) of the first of ``urls`` that is in the folder or can be had; the error names what each of them said."""
     said = []
     folder.mkdir(parents=True, exist_ok=True)
     for url in urls:
-        dest = folder / Path(urllib.parse.urlparse(url).path).name
+        dest = folder / (name or Path(urllib.parse.urlparse(url).path).name)
         try:
             return dest if dest.is_file() else get(url, dest)
         except OSError as error:
@@ -93,7 +97,7 @@ def map_query(box: tuple[float, float, float, float], tags: dict[str, str | None
     return "\n".join([f"[out:json][timeout:{seconds}];", *(clauses if len(clauses) == 1 else ["(", *clauses, ");"]), "out;"])
 
 
-def data_source(key: str, catalogue: Path, override: Path | None = None) -> dict:
+def data_source(key: str, catalogue: Path = CATALOGUE, override: Path | None = None) -> dict:
     """An entry of the JSON catalogue, an override file's first; both are read on each call."""
     found: dict = {}
     for path in (catalogue, override):
@@ -113,10 +117,14 @@ def obtain(entry: dict, folder: Path, force: bool = False, today: dt.date | None
         path = found
     elif entry.get("urls"):
         urls = [u for url in entry["urls"] for u in (by_day(url, today or dt.date.today()) if "{day" in url else [url])]
+        name = entry.get("file")
         if force:
             for url in urls:
-                (folder / Path(urllib.parse.urlparse(url).path).name).unlink(missing_ok=True)
-        path = first_answer(urls, folder, lambda url, dest: get(url, dest, entry["post"]) if entry.get("post") else get(url, dest))
+                (folder / (name or Path(urllib.parse.urlparse(url).path).name)).unlink(missing_ok=True)
+        how = {k: entry[k] for k in ("post", "timeout") if k in entry}
+        if "map" in entry:
+            how["post"] = {"data": map_query(tuple(entry["map"]["box"]), entry["map"]["tags"])}
+        path = first_answer(urls, folder, lambda url, dest: get(url, dest, **how), name)
     else:
         raise FileNotFoundError(f"nothing in {folder}: {entry.get('manual', 'no address is known')}")
     return unpacked(path, entry["member"], folder / "unpacked") if entry.get("member") else path

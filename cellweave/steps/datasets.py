@@ -19,6 +19,7 @@ from cellweave.operators import relational as R
 from cellweave.operators.isochrone import graph_edges, graph_nodes, isochrones
 from cellweave.operators.spatial_join import containing
 from cellweave.sources import files
+from cellweave.sources.features import read_features
 
 
 @dataclass
@@ -37,6 +38,9 @@ class Dataset:
     optional: bool = True
     geometry: bool = True
     depends_on: tuple[str, ...] = ()
+    #: Sources by name, if not one of the dataset's own; and a column whose nulls are counted as rows without a place.
+    sources: tuple[str, ...] = ()
+    placed_by: str | None = None
 
 
 #: The stop types of the national stop register by category.
@@ -105,7 +109,14 @@ def crime(ctx: Context) -> DataFrame:
 
 
 def boundaries(name: str, code: str) -> Callable[[Context], DataFrame]:
-    return lambda ctx: files.read_geopackage(ctx.spark, ctx.source(name)).withColumnRenamed(code, "spatial_id")
+    """A layer of boundaries from a paged service, from what was fetched of it, or from a GeoPackage."""
+
+    def extract(ctx: Context) -> DataFrame:
+        path = ctx.source(name)
+        raw = read_features(ctx.spark, path) if path.startswith("http") else ctx.spark.read.parquet(path) if path.endswith(".parquet") else files.read_geopackage(ctx.spark, path)
+        return raw.withColumnRenamed(code, "spatial_id")
+
+    return extract
 
 
 def greenspace(ctx: Context) -> DataFrame:
@@ -238,11 +249,11 @@ def oac_classification(ctx: Context) -> DataFrame:
 
 
 DATASETS = (
-    Dataset("crime_data", "crime_data", crime, optional=False),
+    Dataset("crime_data", "crime_data", crime, optional=False, placed_by="geom"),
     *[Dataset(t, t, boundaries(t, c), optional=False) for t, c in (("police_force_areas", "PFA23CD"), ("local_authority_districts", "LAD24CD"), ("msoa_2021", "MSOA21CD"), ("lsoa_2021", "LSOA21CD"), ("output_areas_2021", "OA21CD"))],
     Dataset("open_greenspace", "open_greenspace", greenspace),
     Dataset("land_cover", "land_cover", land_cover),
-    Dataset("buildings", "buildings", buildings, depends_on=("output_areas_2021",)),
+    Dataset("buildings", "buildings", buildings, depends_on=("output_areas_2021",), placed_by="oa21cd"),
     Dataset("retail_centres", "retail_centres", retail_centres),
     Dataset("open_roads", "open_roads", open_roads),
     Dataset("poi", "poi", poi),
@@ -251,7 +262,7 @@ DATASETS = (
     Dataset("streetlights", "streetlights", streetlights),
     Dataset("cctv", "cctv", cctv),
     Dataset("schools", "schools", schools, depends_on=("open_roads",)),
-    Dataset("imd_scores_pct", "imd_scores_pct", imd, geometry=False, depends_on=("local_authority_districts",)),
+    Dataset("imd_scores_pct", "imd_scores_pct", imd, geometry=False, depends_on=("local_authority_districts",), sources=("imd_england", "imd_wales")),
     Dataset("oac", "oac", oac, geometry=False),
     Dataset("oac_classification", "oac_classification", oac_classification, geometry=False),
 )

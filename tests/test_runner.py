@@ -61,6 +61,7 @@ def test_extracts_cache_subset_and_failure_policy(spark, tmp_path):
     sets = [Dataset("a", "ta", make("a")), Dataset("b", "tb", make("b", True)), Dataset("c", "tc", make("c"), depends_on=("a",))]
     done = runner.run_extracts(spark, sets, tmp_path, str)
     assert done["a"].ok and not done["b"].ok and runner.complete(tmp_path / "tc")
+    assert done["a"].value.rows == 2 and done["a"].value.unplaced is None
     calls.clear()
     runner.run_extracts(spark, sets, tmp_path, str, only=["c"])
     assert calls == []
@@ -72,6 +73,14 @@ def test_extracts_cache_subset_and_failure_policy(spark, tmp_path):
         runner.run_extracts(spark, [Dataset("b", "tb", make("b", True), optional=False)], tmp_path, str)
 
 
+def test_rows_are_counted_by_the_job_that_writes_them(spark, tmp_path):
+    made = spark.range(10).selectExpr("id", "case when id % 4 <> 0 then id end as place")
+    sets = [Dataset("p", "p", lambda c: made.repartition(3), placed_by="place")]
+    done = runner.run_extracts(spark, sets, tmp_path, str)["p"].value
+    assert (done.rows, done.unplaced) == (10, 3) and "10 rows, 3 without a place" in str(done)
+    assert runner.run_extracts(spark, sets, tmp_path, str)["p"].value.rows is None
+
+
 def stamp(path: Path, seconds: float) -> None:
     t = time.time() + seconds
     os.utime(path / "_SUCCESS", (t, t))

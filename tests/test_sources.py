@@ -12,6 +12,7 @@ import pytest
 
 from cellweave.geo import shapes
 from cellweave.sources import fetch, files
+from cellweave.sources.features import read_features
 from cellweave.steps import datasets as D
 
 
@@ -254,3 +255,142 @@ def test_catalogue_with_override(tmp_path):
 
 def test_normalised_names():
     assert [files.normalize_name(n) for n in ("Month", "Falls within", " LSOA code ", "2nd")] == ["_month", "falls_within", "lsoa_code", "_2nd"]
+
+
+def test_parts_of_files_give_all_rows_once(spark, tmp_path):
+    """Ranges of rows and records, and members, in as many tasks as planned."""
+    rows = [(k, k % 3 == 0, f"n{k}", None if k % 7 == 0 else k / 2, rect(k, 0, k + 1, 1)) for k in range(1000)]
+    gpkg = geopackage(tmp_path / "a b%.gpkg", "big", "k INTEGER, flag BOOLEAN, name TEXT, v REAL", rows)
+    plain = files.read_geopackage(spark, f"file://{tmp_path}/*.gpkg")
+    parts = files.read_geopackage(spark, f"file://{tmp_path}/*.gpkg", part_bytes=20_000)
+    assert plain.rdd.getNumPartitions() == 1 and parts.rdd.getNumPartitions() > 3
+    key = lambda df: sorted((r.k, r.flag, r.name, r.v, bytes(r.geom)) for r in df.collect())
+    assert key(parts) == key(plain) == [tuple(r) for r in rows]
+    archive = zipped(tmp_path / "z.zip", {"in/x.gpkg": gpkg.read_bytes()})
+    again = files.read_geopackage(spark, f"file://{archive}", part_bytes=5_000)
+    assert again.rdd.getNumPartitions() > 1 and key(again) == key(plain)
+    assert files.read_geopackage(spark, f"file://{archive}").select("k").agg({"k": "sum"}).first()[0] == sum(range(1000))
+    shp = shapefile([(f"G{k}", "f", [(k, 0), (k, 1), (k + 1, 1), (k, 0)]) for k in range(300)])
+    path = zipped(tmp_path / "s.zip", {f"d/site{k}": v for k, v in shp.items()})
+    found = files.read_shapefile(spark, f"file://{path}", "site.shp", part_bytes=6_000)
+    assert found.rdd.getNumPartitions() > 3 and sorted((int(r.id[1:]), shapes.bounds(shapes.read_wkb(bytes(r.geom)))[0]) for r in found.collect()) == [(k, k) for k in range(300)]
+
+
+def test_small_members_share_a_task_and_large_ones_do_not(spark, tmp_path, monkeypatch):
+    members = {f"2024-{m:02}/2024-{m:02}-x-street.csv": ("Month,B\n" + "".join(f"{m},{k}\n" for k in range(50))).encode() for m in range(1, 9)}
+    members["2024-09/2024-09-x-street.csv"] = b"B,C\n1,2\n"
+    path = zipped(tmp_path / "c.zip", members)
+    assert files.read_zipped_csv(spark, f"file://{path}", "*/*-street.csv").rdd.getNumPartitions() == 1
+    monkeypatch.setattr(files, "PART_BYTES", 600)
+    got = files.read_zipped_csv(spark, f"file://{path}", "*/*-street.csv")
+    assert got.columns == ["_month", "b"] and 3 < got.rdd.getNumPartitions() < 9
+    assert sorted((r._month or "", int(r.b)) for r in got.collect()) == sorted([(str(m), k) for m in range(1, 9) for k in range(50)] + [("", 1)])
+    with pytest.raises(FileNotFoundError, match="no member"):
+        files.read_zipped_csv(spark, f"file://{path}", "*.txt")
+
+
+def test_windows_text_in_split_files(spark, tmp_path):
+    text = bytes(b for b in range(0x80, 0x100) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)).decode("cp1252")
+    path = tmp_path / "w.csv"
+    path.write_bytes(("na€me,b\n" + f"{text},1\n" * 3).encode("cp1252"))
+    for multiline in (True, False):
+        got = files.read_csv_text(spark, f"file://{path}", "windows-1252", multiline=multiline)
+        assert got.columns == ["na€me", "b"] and [tuple(r) for r in got.collect()] == [(text, "1")] * 3
+    with pytest.raises(ValueError, match="not supported"):
+        files.read_csv_text(spark, f"file://{path}", "cp437")
+
+
+class PagedService:
+    """A feature service with 23 features, of which the third page fails at first."""
+
+    def __init__(self):
+        import http.server
+        import threading
+        import urllib.parse
+
+        self.asked, self.failed, self.short, service = [], 0, False, self
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def do_GET(self):
+                at = urllib.parse.urlparse(self.path)
+                q = {k: v[0] for k, v in urllib.parse.parse_qs(at.query).items()}
+                service.agents.add(self.headers["User-Agent"])
+                if at.path.endswith("/layer"):
+                    self.say({"fields": [{"name": "FID", "type": "esriFieldTypeOID"}, {"name": "CODE", "type": "esriFieldTypeString"}, {"name": "Shape__Area", "type": "esriFieldTypeDouble"}], "objectIdField": "FID", "maxRecordCount": 5})
+                elif q.get("returnCountOnly") == "true":
+                    self.say({"count": 23})
+                else:
+                    start, n = int(q["resultOffset"]), int(q["resultRecordCount"])
+                    assert q["orderByFields"] == "FID" and q["outSR"] == "27700"
+                    if start == 10 and service.failed < 2:
+                        service.failed += 1
+                        if service.failed == 1:
+                            self.send_error(503)
+                        else:
+                            self.say({"error": {"code": 500, "message": "busy"}})
+                        return
+                    service.asked.append(start)
+                    shape = lambda k: [{"type": "Polygon", "coordinates": [[[k, 0], [k + 1, 0], [k + 1, 1], [k, 0]]]}, {"type": "MultiPolygon", "coordinates": [[[[k, 0, 9], [k + 2, 0, 9], [k + 2, 2, 9], [k, 0, 9]]]]}, None][k % 3]
+                    self.say({"features": [{"properties": {"FID": k, "CODE": f"E{k}", "Shape__Area": k / 2}, "geometry": shape(k)} for k in range(start, min(23, start + n) - service.short)]})
+
+            def say(self, what):
+                body = json.dumps(what).encode()
+                self.send_response(200)
+                self.end_headers()
+                self.wfile.write(body)
+
+            def log_message(self, *a):
+                pass
+
+        self.agents = set()
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_port}/layer/query"
+
+
+def test_paged_features_are_read_once_each(spark):
+    service = PagedService()
+    df = read_features(spark, service.url)
+    assert df.rdd.getNumPartitions() == 5 and df.dtypes == [("FID", "bigint"), ("CODE", "string"), ("Shape__Area", "double"), ("geom", "binary")]
+    service.asked.clear()
+    rows = sorted(df.collect())
+    assert [r.FID for r in rows] == list(range(23)) and sorted(service.asked) == [0, 5, 10, 15, 20] and service.failed == 2
+    assert [shapes.area(shapes.read_wkb(bytes(r.geom))) if r.geom else None for r in rows[:3]] == [0.5, 2.0, None] and all("cellweave" in a for a in service.agents)
+    got = D.boundaries("x", "CODE")(D.Context(spark, lambda n: service.url)).where("spatial_id = 'E22'").first()
+    assert got.Shape__Area == 11.0
+    service.short = True
+    with pytest.raises(Exception, match="announced"):
+        df.count()
+    service.server.shutdown()
+
+
+def test_every_source_of_every_dataset_is_in_the_catalogue():
+    for d in D.DATASETS:
+        for name in d.sources or (d.name,):
+            entry = fetch.data_source(name)
+            assert entry.keys() & {"urls", "features", "manual"}
+    entry = fetch.data_source("cctv")
+    assert entry["timeout"] == 600 and '["man_made"="surveillance"](49.75,-5.86,56.0,1.81);' in fetch.map_query(tuple(entry["map"]["box"]), entry["map"]["tags"])
+
+
+def test_map_queries_name_their_agent_and_time(tmp_path):
+    import http.server
+    import threading
+
+    said = {}
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            said.update(agent=self.headers["User-Agent"], body=self.rfile.read(int(self.headers["Content-Length"])).decode())
+            self.send_response(406 if "Python" in said["agent"] else 200)
+            self.end_headers()
+            self.wfile.write(b'{"elements": []}')
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    entry = fetch.data_source("cctv") | {"urls": [f"http://127.0.0.1:{server.server_port}/api/interpreter"]}
+    assert fetch.obtain(entry, tmp_path / "cctv").name == "cctv.json" and "surveillance" in said["body"] and "cellweave" in said["agent"]
+    server.shutdown()
