@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 from cellweave.plans import runner
-from cellweave.plans.sync import POLICIES, FolderStore, sync
+from cellweave.plans.sync import POLICIES, sync
 from cellweave.sources.features import read_features
 from cellweave.sources.fetch import CATALOGUE, data_dir, data_source, obtain
 from cellweave.steps.base import RESOLUTIONS
@@ -31,7 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--all", action="store_true", help="rebuild what exists")
     parser.add_argument("--include", action="append", default=[], help="load: a further relation (repeatable)")
     parser.add_argument("--resolution", action="append", type=int, default=[], help="cell resolution (repeatable)")
-    parser.add_argument("--remote", type=Path, help="sync: the store's folder")
+    parser.add_argument("--remote", help="sync: the other folder, in any store that Spark reaches")
     parser.add_argument("--policy", choices=POLICIES, default="ignore")
     args = parser.parse_args(argv)
     root, resolutions = data_dir(), tuple(args.resolution) or RESOLUTIONS
@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
                 entry = data_source(name, args.catalogue or CATALOGUE, root / "sources.json")
                 if "features" not in entry:
                     found = obtain(entry, raw / name, args.force_download)
-                elif args.force_download or not runner.complete(found := features_of(raw, name)):
+                elif args.force_download or not runner.complete(spark, found := features_of(raw, name)):
                     found = runner.write_table(read_features(spark, entry["features"]), features_of(raw, name))
                 print(name, found)
             except (OSError, ValueError, PySparkException) as error:
@@ -51,17 +51,17 @@ def main(argv: list[str] | None = None) -> int:
                 failed = 1
         return failed
     if args.command in ("extract", "build"):
-        for name, outcome in runner.run_extracts(spark, DATASETS, root / "extract", lambda n: f"{features_of(raw, n) if runner.complete(features_of(raw, n)) else raw / n}", args.only, args.all).items():
+        for name, outcome in runner.run_extracts(spark, DATASETS, root / "extract", lambda n: f"{features_of(raw, n) if runner.complete(spark, features_of(raw, n)) else raw / n}", args.only, args.all).items():
             print(name, f"{outcome.value}" if outcome.ok else f"failed: {outcome.error}")
             failed |= not outcome.ok
     if args.command in ("transform", "assemble", "build"):
         runner.run_steps(spark, STEPS, root / "extract", root / "transform", resolutions=resolutions, rebuild=args.all)
     if args.command in ("load", "assemble", "build"):
-        print(*runner.publish(root / "bundle", [root / "transform", root / "extract"], resolutions, args.include))
+        print(*runner.publish(spark, root / "bundle", [root / "transform", root / "extract"], resolutions, args.include))
     if args.command == "sync":
         if args.remote is None:
             parser.error("sync needs --remote")
-        for name, action in sync(spark, root / "extract", FolderStore(args.remote), args.policy).items():
+        for name, action in sync(spark, root / "extract", args.remote, args.policy).items():
             print(action, name)
     return failed
 

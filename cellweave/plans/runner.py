@@ -5,16 +5,16 @@ from __future__ import annotations
 import graphlib
 import json
 import logging
-import os
-import shutil
+import re
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cellweave.plans.store import Place, Store, address, name_of, under
 from cellweave.steps.base import RESOLUTIONS, Relations, Step
 from cellweave.steps.datasets import Context, Dataset
 
@@ -26,7 +26,7 @@ log = logging.getLogger("cellweave")
 class Extracted:
     """Where a table is, and what its own write job counted: rows, and rows whose ``placed_by`` column is null."""
 
-    path: Path
+    path: Place
     rows: int | None = None
     unplaced: int | None = None
 
@@ -87,25 +87,39 @@ def run_graph(nodes: Mapping[str, tuple[Callable[[dict[str, Outcome]], object],
     return {n: done[n] for n in nodes}
 
 
-def complete(path: Path) -> bool:
-    return (path / "_SUCCESS").exists()
+def _aside(path: Place) -> str:
+    """Where the former table lies while a new one takes its place."""
+    return under(address(path).rsplit("/", 1)[0], f".{name_of(path)}.former")
 
 
-def write_table(df: DataFrame, path: Path) -> Path:
-    """Parquet at ``path``, in place only when it is whole: written beside it and renamed."""
-    staging = path.with_name(f".{path.name}.staging")
-    shutil.rmtree(staging, ignore_errors=True)
-    df.write.parquet(f"file://{staging.absolute()}")
-    shutil.rmtree(path, ignore_errors=True)
-    os.replace(staging, path)
+def complete(spark: SparkSession, path: Place) -> bool:
+    """Whether a whole table is there. One that was set aside by a run that broke off then is put back first."""
+    store = Store(spark)
+    if not store.exists(path) and store.exists(_aside(path)):
+        store.rename(_aside(path), path)
+    return store.exists(under(path, "_SUCCESS"))
+
+
+def write_table(df: DataFrame, path: Place) -> Place:
+    """Parquet at ``path``, in place only when it is whole: written beside it, and the former table goes when the new one has its name."""
+    store, staging = Store(df.sparkSession), under(address(path).rsplit("/", 1)[0], f".{name_of(path)}.{uuid.uuid4().hex}")
+    try:
+        df.write.parquet(staging)
+        if complete(df.sparkSession, path) or store.exists(path):
+            store.delete(_aside(path))
+            store.rename(path, _aside(path))
+        store.rename(staging, path)
+        store.delete(_aside(path))
+    finally:
+        store.delete(staging)
     return path
 
 
-def read_path(spark: SparkSession, path: Path) -> DataFrame:
-    return spark.read.parquet(f"file://{path.absolute()}")
+def read_path(spark: SparkSession, path: Place) -> DataFrame:
+    return spark.read.parquet(address(path))
 
 
-def run_extracts(spark: SparkSession, datasets: Sequence[Dataset], folder: Path, source: Callable[[str], str], only: Sequence[str] = (), rebuild: bool = False, options: dict | None = None) -> dict[str, Outcome]:
+def run_extracts(spark: SparkSession, datasets: Sequence[Dataset], folder: Place, source: Callable[[str], str], only: Sequence[str] = (), rebuild: bool = False, options: dict | None = None) -> dict[str, Outcome]:
     """Extracts to Parquet folders; what exists is kept unless ``rebuild``. An optional one may fail; a required one's error is raised.
 
     Rows are counted by the job that writes them, not by another one.
@@ -119,10 +133,10 @@ def run_extracts(spark: SparkSession, datasets: Sequence[Dataset], folder: Path,
 
     def node(d: Dataset):
         def run(_: dict[str, Outcome]) -> Extracted:
-            path = folder / d.table
-            if complete(path) and not rebuild:
+            path = under(folder, d.table)
+            if complete(spark, path) and not rebuild:
                 return Extracted(path)
-            ctx = Context(spark, source, lambda n: read_path(spark, folder / tables[n]), (options or {}).get(d.name, {}))
+            ctx = Context(spark, source, lambda n: read_path(spark, under(folder, tables[n])), (options or {}).get(d.name, {}))
             counted = Observation()
             counts = [F.count(F.lit(1)).alias("rows"), *([F.count_if(F.col(d.placed_by).isNull()).alias("unplaced")] if d.placed_by else [])]
             write_table(d.extract(ctx).observe(counted, *counts), path)
@@ -139,36 +153,36 @@ def run_extracts(spark: SparkSession, datasets: Sequence[Dataset], folder: Path,
     return done
 
 
-def fresh(outputs: Sequence[Path], inputs: Sequence[Path]) -> bool:
+def fresh(spark: SparkSession, outputs: Sequence[Place], inputs: Sequence[Place]) -> bool:
     """All outputs are whole and none is older than any input; missing inputs don't count."""
-    stamp = lambda p: (p / "_SUCCESS").stat().st_mtime
-    if not outputs or not all(map(complete, outputs)):
+    stamp = lambda p: Store(spark).modified(under(p, "_SUCCESS"))
+    if not outputs or not all(complete(spark, p) for p in outputs):
         return False
-    return min(map(stamp, outputs)) >= max((stamp(p) for p in inputs if complete(p)), default=0.0)
+    return min(map(stamp, outputs)) >= max((stamp(p) for p in inputs if complete(spark, p)), default=0.0)
 
 
-def run_steps(spark: SparkSession, steps: Sequence[Step], extracts: Path, folder: Path, required: Sequence[str] = ("crime_data",), resolutions: tuple[int, ...] = RESOLUTIONS, rebuild: bool = False) -> Relations:
+def run_steps(spark: SparkSession, steps: Sequence[Step], extracts: Place, folder: Place, required: Sequence[str] = ("crime_data",), resolutions: tuple[int, ...] = RESOLUTIONS, rebuild: bool = False) -> Relations:
     """Steps in order; a fresh one is read again, a stale one built and written. The first error by registration is raised."""
     check_registry(steps)
     relations = Relations()
-    for path in sorted(extracts.iterdir()) if extracts.exists() else []:
-        if complete(path):
-            relations.put(path.name, read_path(spark, path))
+    for name in Store(spark).names(extracts):
+        if not name.startswith(".") and complete(spark, under(extracts, name)):
+            relations.put(name, read_path(spark, under(extracts, name)))
     if missing := [r for r in required if r not in relations]:
         raise FileNotFoundError(f"required extracts are missing: {missing}")
     by_name = {s.name: s for s in steps}
 
     def node(step: Step):
         def run(_: dict[str, Outcome]) -> list[str]:
-            outputs = [folder / n for n in step.outputs(relations, resolutions)]
-            inputs = [extracts / n for n in step.inputs] + [folder / n for d in step.depends_on for n in by_name[d].outputs(relations, resolutions)]
-            if rebuild or not fresh(outputs, inputs):
+            outputs = [under(folder, n) for n in step.outputs(relations, resolutions)]
+            inputs = [under(extracts, n) for n in step.inputs] + [under(folder, n) for d in step.depends_on for n in by_name[d].outputs(relations, resolutions)]
+            if rebuild or not fresh(spark, outputs, inputs):
                 for name, df in step.build(relations, resolutions).items():
-                    write_table(df, folder / name)
+                    write_table(df, under(folder, name))
             for path in outputs:
-                if complete(path):
-                    relations.put(path.name, read_path(spark, path))
-            return [p.name for p in outputs]
+                if complete(spark, path):
+                    relations.put(name_of(path), read_path(spark, path))
+            return [name_of(p) for p in outputs]
 
         return run, [d for d in step.depends_on if d in by_name]
 
@@ -184,27 +198,34 @@ def bundle_tables(resolutions: Sequence[int] = RESOLUTIONS, include: Sequence[st
     return [*core, *(n for n in include if n not in core)], [n for n in features if n not in include]
 
 
-def publish(bundle: Path, folders: Sequence[Path], resolutions: Sequence[int] = RESOLUTIONS, include: Sequence[str] = ()) -> list[str]:
-    """Copies the minimal tables into a new version and turns the manifest to it in one rename, so readers see all or nothing."""
+def _manifests(spark: SparkSession, bundle: Place) -> list[str]:
+    return [n for n in Store(spark).names(bundle) if re.fullmatch(r"manifest-\d{8}\.json", n)]
+
+
+def publish(spark: SparkSession, bundle: Place, folders: Sequence[Place], resolutions: Sequence[int] = RESOLUTIONS, include: Sequence[str] = (), threads: int = 4) -> list[str]:
+    """Copies the minimal tables into a new version, by Spark jobs, and commits it by the rename of a manifest of the next number.
+
+    Readers take the manifest of the highest number, so they see all or nothing; whatever breaks off before leaves the former version in force.
+    """
     required, optional = bundle_tables(resolutions, include)
-    found: dict[str, Path] = {}
+    found: dict[str, str] = {}
     for name in [*required, *optional]:
-        path = next((f / name for f in folders if complete(f / name)), None)
+        path = next((under(f, name) for f in folders if complete(spark, under(f, name))), None)
         if path is None and name in required:
             raise FileNotFoundError(f"{name} is in none of {', '.join(map(str, folders))}")
         if path is not None:
             found[name] = path
-    old = json.loads((bundle / "manifest.json").read_text())["version"] if (bundle / "manifest.json").exists() else 0
-    version = bundle / f"v{old + 1}"
-    shutil.rmtree(version, ignore_errors=True)
-    for name, path in found.items():
-        shutil.copytree(path, version / name)
-    staged = bundle / "manifest.staging.json"
-    staged.write_text(json.dumps({"version": old + 1, "tables": sorted(found)}))
-    os.replace(staged, bundle / "manifest.json")
+    version = f"v-{uuid.uuid4().hex}"
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(lambda name: read_path(spark, found[name]).write.parquet(under(bundle, version, name)), found))
+    number = int(old[-1][9:17]) + 1 if (old := _manifests(spark, bundle)) else 1
+    Store(spark).write(json.dumps({"version": version, "tables": sorted(found)}), under(bundle, f"manifest-{number:08}.json"))
     return sorted(found)
 
 
-def open_bundle(spark: SparkSession, bundle: Path) -> Relations:
-    manifest = json.loads((bundle / "manifest.json").read_text())
-    return Relations({n: read_path(spark, bundle / f"v{manifest['version']}" / n) for n in manifest["tables"]})
+def open_bundle(spark: SparkSession, bundle: Place) -> Relations:
+    manifests = _manifests(spark, bundle)
+    if not manifests:
+        raise FileNotFoundError(f"nothing is published in {bundle}")
+    manifest = json.loads(Store(spark).read(under(bundle, manifests[-1])))
+    return Relations({n: read_path(spark, under(bundle, manifest["version"], n)) for n in manifest["tables"]})

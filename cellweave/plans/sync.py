@@ -2,51 +2,17 @@
 
 from __future__ import annotations
 
-import hashlib
-import os
-from pathlib import Path
-from typing import Protocol
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellweave.plans.store import Place, Store, under
+
 POLICIES = ("ignore", "newer", "different", "force")
 #: Seconds by which times may differ and still count as equal.
 TOLERANCE = 5.0
 LISTING = "name string, mtime double, md5 string"
 
 
-class Store(Protocol):
-    def listing(self) -> list[tuple[str, float, str]]: ...
-    def upload(self, name: str, path: Path, mtime: float) -> None: ...
-    def download(self, name: str, path: Path) -> float: ...
-
-
-class FolderStore:
-    """A store in another folder; a file's time is the source's, kept beside it."""
-
-    def __init__(self, root: Path):
-        self.root = root
-
-    def listing(self) -> list[tuple[str, float, str]]:
-        return local_listing(self.root)
-
-    def upload(self, name: str, path: Path, mtime: float) -> None:
-        dest = self.root / name
-        dest.parent.mkdir(parents=True, exist_ok=True)
-        dest.write_bytes(path.read_bytes())
-        os.utime(dest, (mtime, mtime))
-
-    def download(self, name: str, path: Path) -> float:
-        path.parent.mkdir(parents=True, exist_ok=True)
-        path.write_bytes((self.root / name).read_bytes())
-        return (self.root / name).stat().st_mtime
-
-
-def local_listing(root: Path) -> list[tuple[str, float, str]]:
-    return [(p.relative_to(root).as_posix(), p.stat().st_mtime, hashlib.md5(p.read_bytes()).hexdigest()) for p in sorted(root.rglob("*")) if p.is_file()] if root.exists() else []
-
-
 def reconcile(local: DataFrame, remote: DataFrame, policy: str = "ignore") -> DataFrame:
     """``name, action``: ``upload``, ``download`` or ``skip``.
 
@@ -70,15 +36,17 @@ def reconcile(local: DataFrame, remote: DataFrame, policy: str = "ignore") -> Da
     return both.select("name", F.when(here & upload, "upload").when(down, "download").otherwise("skip").alias("action"))
 
 
-def sync(spark: SparkSession, root: Path, store: Store, policy: str = "ignore") -> dict[str, str]:
-    """Carries the actions out; after a download the local time is set to the store's. File names and times reach the driver."""
-    frame = lambda rows: spark.createDataFrame(rows, LISTING)
-    actions = {r["name"]: r["action"] for r in reconcile(frame(local_listing(root)), frame(store.listing()), policy).orderBy("name").collect()}
-    for name, action in actions.items():
-        path = root / name
-        if action == "upload":
-            store.upload(name, path, path.stat().st_mtime)
-        elif action == "download":
-            mtime = store.download(name, path)
-            os.utime(path, (mtime, mtime))
-    return actions
+def sync(spark: SparkSession, root: Place, remote: Place, policy: str = "ignore") -> dict[str, str]:
+    """Carries the actions out between two folders of any stores; a copy gets the time of what it was copied from.
+
+    Both are listed by Spark, with digests made in tasks; names and actions reach the driver, and files are streamed by its JVM.
+    """
+    store = Store(spark)
+    actions = reconcile(store.listing(root), store.listing(remote), policy).orderBy("name").collect()
+    for r in actions:
+        here, there = under(root, r["name"]), under(remote, r["name"])
+        if r["action"] == "upload":
+            store.copy(here, there, store.modified(here))
+        elif r["action"] == "download":
+            store.copy(there, here, store.modified(there))
+    return {r["name"]: r["action"] for r in actions}

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from cellweave.plans import runner
 from cellweave.plans.registry import _place_relations
-from cellweave.plans.sync import LISTING, FolderStore, reconcile, sync
+from cellweave.plans.store import Store, address
+from cellweave.plans.sync import reconcile, sync
 from cellweave.steps import transforms
 from cellweave.steps.base import Relations, Step
 from cellweave.steps.datasets import DATASETS, Dataset
@@ -60,7 +61,7 @@ def test_extracts_cache_subset_and_failure_policy(spark, tmp_path):
 
     sets = [Dataset("a", "ta", make("a")), Dataset("b", "tb", make("b", True)), Dataset("c", "tc", make("c"), depends_on=("a",))]
     done = runner.run_extracts(spark, sets, tmp_path, str)
-    assert done["a"].ok and not done["b"].ok and runner.complete(tmp_path / "tc")
+    assert done["a"].ok and not done["b"].ok and runner.complete(spark, tmp_path / "tc")
     assert done["a"].value.rows == 2 and done["a"].value.unplaced is None
     calls.clear()
     runner.run_extracts(spark, sets, tmp_path, str, only=["c"])
@@ -115,16 +116,53 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
     for name in required:
         runner.write_table(spark.range(1), (a if "h3" in name else b) / name)
     runner.write_table(spark.range(1), b / optional[0])
-    assert runner.publish(bundle, [a, b], (8,)) == sorted([*required, optional[0]])
+    assert runner.publish(spark, bundle, [a, b], (8,)) == sorted([*required, optional[0]])
     runner.write_table(spark.range(7), a / "crime_counts_h3_8")
     with pytest.raises(FileNotFoundError):
-        runner.publish(bundle, [a, b], (8,), include=["open_roads"])
+        runner.publish(spark, bundle, [a, b], (8,), include=["open_roads"])
     assert runner.open_bundle(spark, bundle)["crime_counts_h3_8"].count() == 1
     runner.write_table(spark.range(1), b / "open_roads")
-    assert "open_roads" in runner.publish(bundle, [a, b], (8,), include=["open_roads"])
+    assert "open_roads" in runner.publish(spark, bundle, [a, b], (8,), include=["open_roads"])
     assert runner.open_bundle(spark, bundle)["crime_counts_h3_8"].count() == 7
 
 
+def test_what_breaks_off_leaves_the_former_state(spark, tmp_path, monkeypatch):
+    """A table whose writing fails, one whose renames are cut between, and a publication without its manifest."""
+    path = tmp_path / "t"
+    runner.write_table(spark.range(3), path)
+    failing = spark.range(5).select(F.raise_error(F.lit("broken")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        runner.write_table(failing, path)
+    assert runner.read_path(spark, path).count() == 3 and [n for n in os.listdir(tmp_path) if not n.startswith(".t.crc")] == ["t"]
+    rename, done = Store.rename, []
+
+    def cut(self, place, to):
+        if len(done) == 1:
+            raise OSError("cut off")
+        done.append(to)
+        rename(self, place, to)
+
+    monkeypatch.setattr(Store, "rename", cut)
+    with pytest.raises(OSError, match="cut off"):
+        runner.write_table(spark.range(9), path)
+    monkeypatch.setattr(Store, "rename", rename)
+    assert not path.exists() and runner.complete(spark, path) and runner.read_path(spark, path).count() == 3
+    bundle, tables = f"file://{tmp_path}/other root/bundle", tmp_path / "tables"
+    for name in runner.bundle_tables((8,))[0]:
+        runner.write_table(spark.range(1), tables / name)
+    runner.publish(spark, bundle, [tables], (8,))
+    runner.write_table(spark.range(7), tables / "crime_counts_h3_8")
+    monkeypatch.setattr(Store, "write", lambda *a: (_ for _ in ()).throw(OSError("cut off")))
+    with pytest.raises(OSError, match="cut off"):
+        runner.publish(spark, bundle, [tables], (8,))
+    monkeypatch.undo()
+    assert runner.open_bundle(spark, bundle)["crime_counts_h3_8"].count() == 1
+    runner.publish(spark, bundle, [tables], (8,))
+    assert runner.open_bundle(spark, bundle)["crime_counts_h3_8"].count() == 7
+    with pytest.raises(FileNotFoundError):
+        runner.open_bundle(spark, tmp_path / "nowhere")
+
+
 def test_wide_table_over_the_whole_chain(spark, tmp_path):
     relations = _place_relations(spark, "/root/testdata/sf0.001")
     for name, df in relations.items():
@@ -161,7 +199,7 @@ def test_counts_of_optional_points(spark):
 def test_sync_policies(spark, policy, want):
     local = [("both", 5000.0, "a"), ("here", 5000.0, "a"), ("new", 9000.0, "a"), ("old", 4000.0, "a"), ("near", 5004.0, "a")]
     remote = [("both", 5000.0, "a"), ("there", 5000.0, "a"), ("new", 5000.0, "b"), ("old", 5000.0, "b"), ("near", 5000.0, "b")]
-    got = reconcile(spark.createDataFrame(local, LISTING), spark.createDataFrame(remote, LISTING), policy)
+    got = reconcile(spark.createDataFrame(local, "name string, mtime double, md5 string"), spark.createDataFrame(remote, "name string, mtime double, md5 string"), policy)
     assert {r["name"]: r["action"] for r in got.collect()} == want
 
 
@@ -173,8 +211,8 @@ def test_sync_moves_files_and_times(spark, tmp_path):
     os.utime(here / "a", (5000, 5000))
     (there / "b").write_text("theirs")
     os.utime(there / "b", (6000, 6000))
-    assert sync(spark, here, FolderStore(there), "newer") == {"a": "upload", "b": "download"}
+    assert sync(spark, here, there, "newer") == {"a": "upload", "b": "download"}
     assert (here / "b").stat().st_mtime == 6000 and (there / "a").read_text() == "mine" and (there / "a").stat().st_mtime == 5000
-    assert set(sync(spark, here, FolderStore(there), "newer").values()) == {"skip"}
+    assert set(sync(spark, here, there, "newer").values()) == {"skip"}
     with pytest.raises(ValueError):
-        sync(spark, here, FolderStore(there), "sometimes")
+        sync(spark, here, there, "sometimes")
