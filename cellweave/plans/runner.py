@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.plans.store import Place, Store, address, name_of, under
+from cellweave.sources.geoparquet import write_geoparquet
 from cellweave.steps.base import RESOLUTIONS, Relations, Step
 from cellweave.steps.datasets import Context, Dataset
 
@@ -100,11 +101,17 @@ def complete(spark: SparkSession, path: Place) -> bool:
     return store.exists(under(path, "_SUCCESS"))
 
 
-def write_table(df: DataFrame, path: Place) -> Place:
-    """Parquet at ``path``, in place only when it is whole: written beside it, and the former table goes when the new one has its name."""
+def write_table(df: DataFrame, path: Place, clustered: bool = False, counted: tuple[Observation, list[Column]] | None = None) -> Place:
+    """Parquet at ``path``, in place only when it is whole: written beside it, and the former table goes when the new one has its name.
+
+    ``clustered`` writes GeoParquet along a curve, with the bounds of ``geom`` in ``bbox``. ``counted`` is observed by the write job.
+    """
     store, staging = Store(df.sparkSession), under(address(path).rsplit("/", 1)[0], f".{name_of(path)}.{uuid.uuid4().hex}")
     try:
-        df.write.parquet(staging)
+        if clustered:
+            write_geoparquet(df, staging, counted=counted)
+        else:
+            (df.observe(counted[0], *counted[1]) if counted else df).write.parquet(staging)
         if complete(df.sparkSession, path) or store.exists(path):
             store.delete(_aside(path))
             store.rename(path, _aside(path))
@@ -139,7 +146,8 @@ def run_extracts(spark: SparkSession, datasets: Sequence[Dataset], folder: Place
             ctx = Context(spark, source, lambda n: read_path(spark, under(folder, tables[n])), (options or {}).get(d.name, {}))
             counted = Observation()
             counts = [F.count(F.lit(1)).alias("rows"), *([F.count_if(F.col(d.placed_by).isNull()).alias("unplaced")] if d.placed_by else [])]
-            write_table(d.extract(ctx).observe(counted, *counts), path)
+            made = d.extract(ctx)
+            write_table(made, path, clustered=d.geometry and "geom" in made.columns, counted=(counted, counts))
             done = Extracted(path, **counted.get)
             log.info("%s: %s", d.name, done)
             return done

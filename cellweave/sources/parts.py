@@ -61,12 +61,18 @@ class Parts(DataSource):
         return _Reader(self.options["kind"], json.loads(self.options["plan"]), schema)
 
 
+def registered(spark: SparkSession, source: type[DataSource]) -> str:
+    """The source's name, known to the session. Spark looks it up in the thread's active session, which threads of a pool lack."""
+    spark._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
+    spark.dataSource.register(source)
+    return source.name()
+
+
 def planned(spark: SparkSession, kind: str, plan: list[dict], schema: T.StructType) -> DataFrame:
     """The rows of all parts, a task each; an empty plan gives no rows."""
     if not plan:
         return spark.createDataFrame([], schema)
-    spark.dataSource.register(Parts)
-    return spark.read.format(Parts.name()).schema(schema).option("kind", kind).option("plan", json.dumps(plan)).load()
+    return spark.read.format(registered(spark, Parts)).schema(schema).option("kind", kind).option("plan", json.dumps(plan)).load()
 
 
 def listed(spark: SparkSession, path: str) -> list[tuple[str, int]]:

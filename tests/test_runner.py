@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from cellweave.functions import spatial as S
 from cellweave.plans import runner
 from cellweave.plans.registry import _place_relations
 from cellweave.plans.store import Store, address
@@ -80,6 +81,11 @@ def test_rows_are_counted_by_the_job_that_writes_them(spark, tmp_path):
     done = runner.run_extracts(spark, sets, tmp_path, str)["p"].value
     assert (done.rows, done.unplaced) == (10, 3) and "10 rows, 3 without a place" in str(done)
     assert runner.run_extracts(spark, sets, tmp_path, str)["p"].value.rows is None
+    shapes = made.withColumn("geom", S.st_point(F.col("place").cast("double"), F.lit(1.0)))
+    done = runner.run_extracts(spark, [Dataset("g", "g", lambda c: shapes, placed_by="geom")], tmp_path, str)["g"].value
+    assert (done.rows, done.unplaced) == (10, 3)
+    kept = runner.read_path(spark, tmp_path / "g")
+    assert kept.columns == ["id", "place", "geom", "bbox"] and kept.where("bbox.xmin = place and bbox.ymax = 1").count() == 7
 
 
 def stamp(path: Path, seconds: float) -> None:
