@@ -12,8 +12,9 @@ from cellweave.functions import spatial as S
 from cellweave.operators import relational as R
 from cellweave.operators.spatial_join import best_overlap, intersecting, nearest_within
 from cellweave.steps.base import Relations, Step
+from cellweave.storage import written
 
-#: Relation of boundaries by the name of its code column, in the order of the wide table's columns.
+#: Relation of boundaries by the name of its code column, in the order of the wide table's columns.
 GEOGRAPHIES = {"pfa23cd": "police_force_areas", "lad24cd": "local_authority_districts", "msoa21cd": "msoa_2021", "lsoa21cd": "lsoa_2021", "oa21cd": "output_areas_2021"}
 EXCLUDED_FORCE = "British Transport Police"
 CENTRES, CENTRE_RADIUS = "retail_centres", 2000.0
@@ -34,6 +35,7 @@ class Layer:
     how: str = "max"
 
 
+#: The names of the layers, their tables and columns.
 LAYERS = (
     Layer("open_greenspace", "greenspace", "id", "greenspace", ("function", "function")),
     Layer("land_cover", "urban", "gid", "urban", where=lambda: F.col("urban")),
@@ -63,7 +65,16 @@ def building_counts(relations: Relations, resolutions: tuple[int, ...]) -> dict[
 
 
 def cells_of(relations: Relations, res: int) -> DataFrame:
-    """The distinct cells of a resolution with their polygon in metres; distinct first, for the polygon is the dear part."""
+    """The distinct cells of a resolution with their polygon in metres; distinct first, for the polygon is the dear part.
+
+    They are written once, and all layers are joined with the written ones.
+    """
+    if (name := f"_cells_{res}") not in relations:
+        relations.put(name, written(_cells(relations, res), "cells"), replace=False)
+    return relations[name]
+
+
+def _cells(relations: Relations, res: int) -> DataFrame:
     return relations[f"crime_counts_h3_{res}"].select("spatial_id").where("spatial_id is not null").distinct().withColumn("cell_geom", S.cell_boundary("spatial_id", on_grid=True))
 
 
