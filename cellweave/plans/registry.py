@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.functions import spatial as S
+from cellweave.functions.wkt import from_text, to_text
 from cellweave.geo import crs
 from cellweave.operators import overlay
 from cellweave.operators import relational as R
@@ -384,6 +385,28 @@ def intersection_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared.groupBy("spatial_id", "code").agg(F.round(F.sum(S.st_area("geom")), 1).alias("area"), F.count("*").cast("int").alias("parts")).where("area > 0.001")
 
 
+@query("""WITH base AS (SELECT p_partkey AS id, p_partkey % 5 AS form, p_partkey * 3571 % 50000 AS x, p_partkey * 7727 % 50000 AS y, 10 * (p_partkey % 9 + 1) AS w FROM part),
+  box AS (SELECT *, '(' || x || ' ' || y || ', ' || x + w || ' ' || y || ', ' || x + w || ' ' || y + w || ', ' || x || ' ' || y + w || ', ' || x || ' ' || y || ')' AS ring, '(' || x + 1 || ' ' || y + 1 || ', ' || x + 3 || ' ' || y + 1 || ', ' || x + 3 || ' ' || y + 4 || ', ' || x + 1 || ' ' || y + 1 || ')' AS inner_ring FROM base)
+  SELECT id, CASE form WHEN 0 THEN 'POLYGON (' || ring || ')' WHEN 1 THEN 'POLYGON (' || ring || ', ' || inner_ring || ')' WHEN 2 THEN 'MULTIPOLYGON ((' || ring || '), ((0 0, -7 0, -7 -6.5, 0 0)))' WHEN 3 THEN 'LINESTRING ' || ring ELSE 'POLYGON EMPTY' END AS text,
+    CASE form WHEN 0 THEN w * w WHEN 1 THEN w * w - 3 WHEN 2 THEN w * w + 22.75 ELSE 0 END::DOUBLE AS area, CASE form WHEN 3 THEN 4 * w ELSE 0 END::DOUBLE AS length FROM box""")
+def well_known_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of each part's polygon, one with a hole, two, their outline or none, in loose spelling: read, measured and written again."""
+    k = F.col("p_partkey")
+    x, y, w = k * 3571 % 50000, k * 7727 % 50000, 10 * (k % 9 + 1)
+    ring = lambda *points: F.concat(F.lit("( "), F.concat_ws(" , ", *[F.concat(a.cast("string"), F.lit("  "), b.cast("string")) for a, b in points]), F.lit(")"))
+    box = ring((x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y))
+    hole = ring((x + 1, y + 1), (x + 3, y + 1), (x + 3, y + 4), (x + 1, y + 1))
+    text = (
+        F.when(k % 5 == 0, F.concat(F.lit("Polygon("), box, F.lit(")")))
+        .when(k % 5 == 1, F.concat(F.lit("POLYGON ("), box, F.lit(","), hole, F.lit(")")))
+        .when(k % 5 == 2, F.concat(F.lit("SRID=27700;multipolygon(("), box, F.lit("),(( 0 0,-7 0,-7 -6.5,0 0)))")))
+        .when(k % 5 == 3, F.concat(F.lit("LINESTRING"), box))
+        .otherwise("POLYGON  EMPTY")
+    )
+    read = read_table(spark, sf_dir, "part").select(k.alias("id"), from_text(text).alias("geom"))
+    return read.select("id", to_text(F.col("geom")).alias("text"), S.st_area("geom").alias("area"), S.st_length("geom").alias("length"))
+
+
 #: A street of 30 nodes, 100 m apart, for each supplier, and streets across; some pieces are left out. Walks of at most 300 m.
 _NODES = 30
 
