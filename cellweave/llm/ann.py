@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.common import read_table, written
 
-#: The trees, about how many vectors a leaf holds (the trees' depth follows from the number of distinct vectors), and how
-#: many vectors a query meets in the leaves it visits, those in several trees counted each time, at any size of the table.
-TREES, LEAF, MEETS = 12, 100, 30_000
-#: Tables of fewer distinct vectors are one leaf, searched whole and once.
-ONE_LEAF = 4096
+#: The trees, and about how many vectors a leaf holds: the trees' depth follows from the number of distinct vectors.
+TREES, LEAF = 12, 100
+#: The share of neighbours that the visits are to find, and how many vectors of the sample, with how many neighbours each, it is measured on.
+RECALL, MEASURED, NEIGHBOURS = 0.94, 64, 20
+#: Tables of fewer distinct vectors have one leaf only.
+ONE_LEAF = 2 * LEAF
 #: Vectors the planes are fitted on: so many for each leaf, those with the least hashes; and the most of them at all.
 SAMPLE_PER_LEAF, SAMPLE_ROWS = 32, 1 << 17
 #: Distinct vectors or queries that meet in one task at a time.
@@ -83,11 +84,6 @@ def depth_for(vectors: int) -> int:
     return min(round(math.log2(vectors / LEAF)), int(math.log2(SAMPLE_ROWS / SAMPLE_PER_LEAF)))
 
 
-def visits_for(vectors: int, depth: int) -> int:
-    """Leaves in which a query meets about ``MEETS`` vectors."""
-    return math.ceil(MEETS * (1 << depth) / vectors)
-
-
 def fit_forest(sample: np.ndarray, radius: float, trees: int, depth: int, seed: int = 7) -> Forest:
     """Each plane separates two random points of its cell, drawn to the means of their sides, at the median."""
     rng = np.random.default_rng(seed)
@@ -113,6 +109,26 @@ def fit_forest(sample: np.ndarray, radius: float, trees: int, depth: int, seed:
     return forest
 
 
+def visits_needed(forest: Forest, sample: np.ndarray, recall: float = RECALL) -> int:
+    """Leaves to visit so that among the vectors of the sample ``recall`` of the nearest are met, measured on a few of them.
+
+    In the whole table the nearest are nearer than in its sample, so that it takes no more visits there.
+    """
+    leaves, inner = forest.leaves(sample), forest.planes.shape[1]
+    every = len(forest.planes) * (inner + 1)
+    first = []
+    for q in np.unique(np.linspace(0, len(sample) - 1, MEASURED).astype(int)):
+        score = sample @ sample[q]
+        score[q] = -np.inf
+        near = np.argsort(-score)[: min(NEIGHBOURS, len(sample) - 1)]
+        order = np.full((len(forest.planes), inner + 1), every)
+        for k, (t, leaf) in enumerate(forest.visits(sample[q], every)):
+            order[t, leaf] = k
+        first.append(order[np.arange(len(forest.planes)), leaves[near]].min(axis=1))
+    first = np.sort(np.concatenate(first))
+    return int(first[min(len(first) - 1, math.ceil(recall * len(first)))]) + 1 if len(first) else 1
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
 
@@ -191,8 +207,8 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
     The nearest by inner product come first, ties by the smaller id; scores are in double precision on the components as
     they are. Vectors that are null, zero or hold null or non-finite components take no part, on either side. Equal
     vectors are searched once and expanded from their smallest ids, so a vector that many rows share costs no more.
-    Leaves are compared in blocks of bounded size. A table of fewer than ``ONE_LEAF`` distinct vectors is one leaf and
-    the result is exact; larger ones have leaves of about ``LEAF`` vectors. An empty table gives no rows.
+    Leaves, of about ``LEAF`` vectors, are compared in blocks of bounded size. Unless given, the number of ``visits`` is what
+    finds ``RECALL`` of the neighbours within the sample that the planes are fitted on. An empty table gives no rows.
     """
     spark, kind = rows.sparkSession, _kind(rows, vector_col)
     vectors = written(distinct_vectors(rows, id_col, vector_col, top + 1), "vectors")
@@ -202,9 +218,10 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
     if not known["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     depth = depth_for(known["n"]) if depth is None else depth
-    visits = visits_for(known["n"], depth) if visits is None else visits
     sample = vectors.select("vec").orderBy(F.xxhash64("vid"), "vid").limit(min(SAMPLE_ROWS, SAMPLE_PER_LEAF << depth)).toArrow().column(0).combine_chunks()
-    shared = spark.sparkContext.broadcast(fit_forest(_matrix(sample), float(np.sqrt(known["r"])), trees if depth else 1, depth))
+    forest = fit_forest(_matrix(sample), float(np.sqrt(known["r"])), trees if depth else 1, depth)
+    visits = visits_needed(forest, _matrix(sample)) if visits is None else visits
+    shared = spark.sparkContext.broadcast(forest)
     row = f"tree int, leaf int, vid long, vec array<{kind}>"
     routed = vectors.select("vid", "vec").mapInArrow(_router(shared), row)
     sought = asked.select("vid").distinct().join(vectors.select("vid", "vec"), "vid").mapInArrow(_visitor(shared, visits), row)
