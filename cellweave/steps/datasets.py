@@ -6,10 +6,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -211,20 +212,27 @@ def schools(ctx: Context) -> DataFrame:
     return joined.select(*[c for c in SCHOOL_COLUMNS if c in joined.columns], *cells, "geom", "isochrone", "isochrone_area_km2")
 
 
+def _wales_sheet(ctx: Context) -> DataFrame | None:
+    """Wales's sheet; None if there is no such file. A file that can't be read, or lacks the sheet, is an error."""
+    try:
+        return files.read_ods(ctx.spark, ctx.source("imd_wales"), "Data", 3)
+    except (KeyError, AnalysisException) as missing:
+        if isinstance(missing, AnalysisException) and missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        logging.getLogger("cellweave").warning("Wales left out: %s", missing)
+        return None
+
+
 def imd(ctx: Context) -> DataFrame:
     """Deprivation percentiles within each country; Wales's own index is turned to the same columns.
 
-    Where Wales's sheet can't be had or lacks a score, England stands alone.
+    Where Wales's sheet isn't there or lacks a score, England stands alone.
     """
     raw = files.read_csv_text(ctx.spark, ctx.source("imd_england"))
     england = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in ENGLAND.items()]).withColumns({c: R.numeric_text(c) for c in ("imd_score", *SCORES)}).withColumn("imd_rank", R.numeric_text("imd_rank").cast("long"))
     both = england.withColumn("country", F.lit("E"))
-    try:
-        sheet = files.read_ods(ctx.spark, ctx.source("imd_wales"), "Data", 3)
-        if sheet.where("`WIMD 2025` is null").isEmpty():
-            both = both.unionByName(wales_scores(sheet, ctx.extract("local_authority_districts") if ctx.extract else None))
-    except (KeyError, ValueError, PySparkException) as missing:
-        print(f"Wales left out: {missing}")
+    if (sheet := _wales_sheet(ctx)) is not None and sheet.where("`WIMD 2025` is null").isEmpty():
+        both = both.unionByName(wales_scores(sheet, ctx.extract("local_authority_districts") if ctx.extract else None))
     ranked = both.withColumns({f"{c}_": R.pct_rank(c, ["country"]) for c in ("imd_score", *SCORES)})
     return ranked.select("spatial_id", "lad24cd", "lad24nm", F.col("imd_score_").alias("imd_score"), "imd_rank", *[F.col(f"{c}_").alias(c) for c in SCORES])
 

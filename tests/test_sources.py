@@ -168,6 +168,10 @@ def test_deprivation(spark, tmp_path):
     assert [got[f"E{k}"].imd_score for k in range(3)] == [1 / 3, 2 / 3, 1.0] and [got[f"E{k}"].imd_rank for k in range(3)] == [100, 50, 10]
     assert got["W3"].imd_score == 1.0 and got["W3"].imd_rank == 1 and got["W3"].bhs == 1.0 and got["W1"].lad24cd == "W06000015" and got["W3"].lad24cd == "W06000011"
     assert D.imd(ctx(spark, {"imd_england": england}, None)).count() == 3
+    assert D.imd(ctx(spark, {"imd_england": england, "imd_wales": tmp_path / "absent.ods"}, None)).count() == 3
+    other = zipped(tmp_path / "o.ods", {"content.xml": ods([["t"]]).replace(b'"Data"', b'"Notes"')})
+    with pytest.raises(Exception, match="no sheet Data"):
+        D.imd(ctx(spark, {"imd_england": england, "imd_wales": other}, None)).count()
 
 
 def test_area_classification(spark, tmp_path):
