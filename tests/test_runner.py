@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cellweave.functions import spatial as S
 from cellweave.plans import runner
 from cellweave.plans.registry import _place_relations
-from cellweave.plans.store import Store, address
+from cellweave.plans.store import Store
 from cellweave.plans.sync import reconcile, sync
 from cellweave.steps import transforms
 from cellweave.steps.base import Relations, Step
