@@ -66,13 +66,22 @@ def best_overlap(cells: DataFrame, features: DataFrame, cell_geom: str, geom: st
     return best_per_group(pairs, ["spatial_id"], [F.desc("part_"), F.asc(code)]).select("spatial_id", code)
 
 
+def _least_of_equal(features: DataFrame, geom: str, key: str) -> DataFrame:
+    """``geom, key``: a row per distinct geometry with its smallest key, null before all others as in a sort."""
+    return features.groupBy(geom).agg(F.min(F.struct(key))[key].alias(key))
+
+
 def nearest_within(cells: DataFrame, features: DataFrame, cell_geom: str, geom: str, key: str, radius: float, tile: float = TILE) -> DataFrame:
-    """``spatial_id, key, distance``: the nearest feature within ``radius`` (inclusive), a row per cell, nulls where there is none."""
+    """``spatial_id, key, distance``: the nearest feature within ``radius`` (inclusive), a row per cell, nulls where there is none.
+
+    Equal cells are measured once, to the smallest key of equal features.
+    """
     # The features' boxes are grown by the radius, so a gap of less than minus the radius is that of the boxes themselves.
     away = lambda gap: F.greatest(gap + radius, F.lit(0.0))
-    pairs = box_join(with_box(cells.select("spatial_id", cell_geom), cell_geom), with_box(features.select(key, geom), geom, radius), tile, keep=lambda x, y: away(x) * away(x) + away(y) * away(y) <= radius * radius * (1 + 1e-12))
-    near = pairs.withColumn("distance", S.st_distance(cell_geom, geom)).where(F.col("distance") <= radius).select("spatial_id", key, "distance")
-    best = best_per_group(near, ["spatial_id"], [F.asc_nulls_last("distance"), F.asc(key)])
+    own, order = cells.select("spatial_id", cell_geom), [F.asc_nulls_last("distance"), F.asc(key)]
+    pairs = box_join(with_box(own.select(cell_geom).distinct(), cell_geom), with_box(_least_of_equal(features, geom, key), geom, radius), tile, keep=lambda x, y: away(x) * away(x) + away(y) * away(y) <= radius * radius * (1 + 1e-12))
+    near = pairs.withColumn("distance", S.st_distance(cell_geom, geom)).where(F.col("distance") <= radius).select(cell_geom, key, "distance")
+    best = best_per_group(own.join(best_per_group(near, [cell_geom], order), cell_geom).select("spatial_id", key, "distance"), ["spatial_id"], order)
     return cells.select("spatial_id").distinct().join(best, "spatial_id", "left")
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import spatial as S
 from cellweave.geo import shapes
+from cellweave.operators import spatial_join
 from cellweave.operators.isochrone import graph_edges, graph_nodes, isochrones
 from cellweave.operators.spatial_join import best_overlap, box_join, containing, intersecting, nearest_within
 
@@ -43,6 +44,27 @@ def test_nearest_within_is_inclusive_with_a_row_per_cell(spark):
     assert got["0"] == ("r0", 0.0) and got["2"] == ("r2", 2000.0) and got["3"] == (None, None) and got["4"] == (None, None) and abs(got["1"][1] - 1999.9) < 1e-9
 
 
+def _pairs_met(monkeypatch):
+    """The numbers of pairs that each tile join gives from now on."""
+    seen, join = [], spatial_join.box_join
+    monkeypatch.setattr(spatial_join, "box_join", lambda *a, **k: (out := join(*a, **k), seen.append(out.count()))[0])
+    return seen
+
+
+def _copies(spark):
+    """Twenty copies of each of two cells, thirty of each of two features."""
+    cells = spark.createDataFrame([(f"{g}{k:02}", box(x, 0, x + 10, 10)) for g, x in (("a", 0), ("b", 100)) for k in range(20)], "spatial_id string, cell_geom binary")
+    features = spark.createDataFrame([(f"{g}{k:02}", box(x, 0, x + 20, 10)) for g, x in (("Y", 4), ("X", 98)) for k in reversed(range(30))], "code string, geom binary")
+    return cells, features
+
+
+def test_nearest_of_equal_cells_and_features_is_measured_once(spark, monkeypatch):
+    cells, features = _copies(spark)
+    seen = _pairs_met(monkeypatch)
+    got = {tuple(r) for r in nearest_within(cells, features, "cell_geom", "geom", "code", 10.0).collect()}
+    assert got == {(f"{g}{k:02}", code, 0.0) for g, code in (("a", "Y00"), ("b", "X00")) for k in range(20)} and seen == [2]
+
+
 def test_points_on_a_shared_edge_lie_in_no_polygon(spark):
     pts = spark.createDataFrame([(1, 5.0, 5.0), (2, 10.0, 5.0), (3, 15.0, 5.0), (4, None, 1.0), (5, 99.0, 99.0)], "id int, x double, y double")
     areas = spark.createDataFrame([("A", box(0, 0, 10, 10)), ("B", box(10, 0, 20, 10))], "code string, geom binary")
