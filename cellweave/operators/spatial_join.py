@@ -61,9 +61,15 @@ def intersecting(cells: DataFrame, features: DataFrame, cell_geom: str, geom: st
 
 
 def best_overlap(cells: DataFrame, features: DataFrame, cell_geom: str, geom: str, code: str, tile: float = TILE) -> DataFrame:
-    """``spatial_id, code``: for each cell the feature with the largest part in it, ties by the smaller code; cells without any go."""
-    pairs = intersecting(cells.select("spatial_id", cell_geom), features.select(code, geom), cell_geom, geom, "part_", tile).drop(cell_geom)
-    return best_per_group(pairs, ["spatial_id"], [F.desc("part_"), F.asc(code)]).select("spatial_id", code)
+    """``spatial_id, code``: for each cell the feature with the largest part in it, ties by the smaller code; cells without any go.
+
+    Equal cells are measured once, with the smallest code of equal features.
+    """
+    own = cells.select("spatial_id", cell_geom)
+    order = [F.desc("part_"), F.asc(code)]
+    pairs = intersecting(own.select(cell_geom).distinct(), _least_of_equal(features, geom, code), cell_geom, geom, "part_", tile)
+    best = best_per_group(pairs, [cell_geom], order)
+    return best_per_group(own.join(best, cell_geom).drop(cell_geom), ["spatial_id"], order).select("spatial_id", code)
 
 
 def _least_of_equal(features: DataFrame, geom: str, key: str) -> DataFrame:
