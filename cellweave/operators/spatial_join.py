@@ -50,14 +50,28 @@ def box_join(left: DataFrame, right: DataFrame, tile: float = TILE, on: list[str
     return pairs.drop("tx_", "ty_", *[f"{c}_{s}_" for c in box for s in "ab"])
 
 
-def intersecting(cells: DataFrame, features: DataFrame, cell_geom: str, geom: str, measure: str, tile: float = TILE) -> DataFrame:
-    """Pairs of convex cells and features that meet, touching included, with the feature's area or length in the cell.
+def with_shape(df: DataFrame, geom: str, shape: str) -> DataFrame:
+    """``df`` with a text that stands for its geometry, equal for equal ones; rows with a null geometry go."""
+    return df.where(F.col(geom).isNotNull()).withColumn(shape, F.md5(geom))
 
-    A positive measure proves that they meet; only the rest are tested for touching.
+
+def shape_pairs(left: DataFrame, right: DataFrame, left_geom: str, right_geom: str, left_shape: str, right_shape: str, tile: float = TILE) -> DataFrame:
+    """Both shapes and geometries of all pairs of distinct geometries whose boxes meet, of sides as ``with_shape`` gives them."""
+    sides = (with_box(df.select(shape, geom).distinct(), geom) for df, geom, shape in ((left, left_geom, left_shape), (right, right_geom, right_shape)))
+    return box_join(*sides, tile)
+
+
+def intersecting(cells: DataFrame, features: DataFrame, cell_geom: str, geom: str, measure: str, tile: float = TILE, digits: int | None = None) -> DataFrame:
+    """Pairs of convex cells and features that meet, touching included, with the feature's area or length in the cell, rounded if ``digits`` says so.
+
+    A positive measure proves that they meet; only the rest are tested for touching. Equal cells and equal features are measured once, and
+    the pairs of shapes that meet are then joined with the rows of either side: the rows grow with those of the result alone.
     """
-    pairs = box_join(with_box(cells, cell_geom), with_box(features, geom), tile)
-    measured = pairs.withColumn(measure, S.st_overlap(cell_geom, geom))
-    return measured.where((F.col(measure) > 0) | S.st_intersects(cell_geom, geom)).drop(geom)
+    a, b = with_shape(cells, cell_geom, "shape_a_"), with_shape(features, geom, "shape_b_")
+    measured = shape_pairs(a, b, cell_geom, geom, "shape_a_", "shape_b_", tile).withColumn(measure, S.st_overlap(cell_geom, geom))
+    met = measured.where((F.col(measure) > 0) | S.st_intersects(cell_geom, geom)).select("shape_a_", "shape_b_", measure if digits is None else F.round(measure, digits).alias(measure))
+    # Rows by cell and feature's shape may be many, so the last join is never by broadcast.
+    return met.join(a, "shape_a_").join(b.drop(geom).hint("merge"), "shape_b_").select(*cells.columns, *[c for c in features.columns if c != geom], measure)
 
 
 def best_overlap(cells: DataFrame, features: DataFrame, cell_geom: str, geom: str, code: str, tile: float = TILE) -> DataFrame:

@@ -263,8 +263,8 @@ def cell_best_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT spatial_id, code AS urban_id, round({_OVERLAP_SQL}, 3) AS overlap_area FROM {_CELLS_SQL} JOIN {_RECTS_SQL} ON {_MEET_SQL} WHERE urban")
 def overlap_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = intersecting(_cells(spark, sf_dir).select("spatial_id", "cell_geom"), _rects(spark, sf_dir).where("urban").select(F.col("code").alias("urban_id"), "geom"), "cell_geom", "geom", "overlap_area")
-    return pairs.select("spatial_id", "urban_id", F.round("overlap_area", 3).alias("overlap_area"))
+    pairs = intersecting(_cells(spark, sf_dir).select("spatial_id", "cell_geom"), _rects(spark, sf_dir).where("urban").select(F.col("code").alias("urban_id"), "geom"), "cell_geom", "geom", "overlap_area", digits=3)
+    return pairs.select("spatial_id", "urban_id", "overlap_area")
 
 
 _LINES_SQL = "(SELECT p_partkey AS code, p_partkey * 3571 % 50000 AS cx, p_partkey * 7727 % 50000 AS cy, p_partkey * 3571 % 50000 + 3000 * (p_partkey % 2) AS dx, p_partkey * 7727 % 50000 + 3000 * (1 - p_partkey % 2) AS dy FROM part)"

@@ -72,6 +72,13 @@ def test_best_overlap_of_equal_cells_and_features_is_measured_once(spark, monkey
     assert got == {(f"{g}{k:02}", code) for g, code in (("a", "Y00"), ("b", "X00")) for k in range(20)} and seen == [2]
 
 
+def test_overlaps_of_equal_shapes_are_measured_once_and_give_all_their_rows(spark, monkeypatch):
+    cells, features = _copies(spark)
+    seen = _pairs_met(monkeypatch)
+    got = [tuple(r) for r in intersecting(cells, features, "cell_geom", "geom", "m", digits=1).select("spatial_id", "code", "m").collect()]
+    assert len(got) == 2 * 20 * 30 and set(got) == {(f"{g}{k:02}", f"{c}{j:02}", m) for g, c, m in (("a", "Y", 60.0), ("b", "X", 100.0)) for k in range(20) for j in range(30)} and seen == [2]
+
+
 def test_points_on_a_shared_edge_lie_in_no_polygon(spark):
     pts = spark.createDataFrame([(1, 5.0, 5.0), (2, 10.0, 5.0), (3, 15.0, 5.0), (4, None, 1.0), (5, 99.0, 99.0)], "id int, x double, y double")
     areas = spark.createDataFrame([("A", box(0, 0, 10, 10)), ("B", box(10, 0, 20, 10))], "code string, geom binary")
