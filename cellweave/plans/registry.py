@@ -275,8 +275,8 @@ def overlap_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     x, y = k * 3571 % 50000, k * 7727 % 50000
     lines = read_table(spark, sf_dir, "part").select(k.alias("road_id"), S.st_line(x.cast("double"), y.cast("double"), (x + 3000 * (k % 2)).cast("double"), (y + 3000 * (1 - k % 2)).cast("double")).alias("geom"))
-    pairs = intersecting(_cells(spark, sf_dir).select("spatial_id", "cell_geom"), lines, "cell_geom", "geom", "overlap_length")
-    return pairs.select("spatial_id", "road_id", F.round("overlap_length", 3).alias("overlap_length"))
+    pairs = intersecting(_cells(spark, sf_dir).select("spatial_id", "cell_geom"), lines, "cell_geom", "geom", "overlap_length", digits=3)
+    return pairs.select("spatial_id", "road_id", "overlap_length")
 
 
 _AWAY_SQL = "sqrt(power(greatest(ax - dx, cx - bx, 0), 2) + power(greatest(ay - dy, cy - ey, 0), 2))"
