@@ -7,6 +7,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -210,11 +211,22 @@ def st_rectangle(xmin, ymin, xmax, ymax) -> Column:
 
 @cache
 def _polygon():
-    def build(rings: pd.Series) -> pd.Series:
-        return pd.Series([None if r is None else shapes.write_wkb((shapes.POLYGON, [[np.array([(p["x"], p["y"]) for p in ring], np.float64) for ring in r]])) for r in rings], dtype=object)
+    def build(rings: pa.Array) -> pa.Array:
+        flat = rings.flatten()
+        points = flat.flatten()
+        xy = np.stack([points.field(n).to_numpy(zero_copy_only=False) for n in "xy"], axis=1).astype("<f8").tobytes()
+        ends = np.concatenate([[0], np.cumsum(flat.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64).tolist()
+        out, at = [], 0
+        for n in rings.value_lengths().to_pylist():
+            if n is None:
+                out.append(None)
+                continue
+            own = [struct.pack("<I", ends[j + 1] - ends[j]) + xy[16 * ends[j] : 16 * ends[j + 1]] for j in range(at, at + n)]
+            out.append(struct.pack("<BII", 1, shapes.POLYGON, n) + b"".join(own))
+            at += n
+        return pa.array(out, pa.binary())
 
-    build.__annotations__ = {"rings": pd.Series, "return": pd.Series}
-    return F.pandas_udf(build, "binary")
+    return F.arrow_udf(build, "binary")
 
 
 def st_polygon(rings: Column) -> Column:

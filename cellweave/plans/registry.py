@@ -14,8 +14,8 @@ from cellweave.geo import crs
 from cellweave.operators import overlay
 from cellweave.operators import relational as R
 from cellweave.operators.isochrone import isochrones
-from cellweave.operators.spatial_join import best_overlap, box_join, containing, intersecting, nearest_within, with_box
-from cellweave.storage import read_table
+from cellweave.operators.spatial_join import best_overlap, containing, intersecting, nearest_within, shape_pairs, with_shape
+from cellweave.storage import read_table, spread, written
 
 SQL: dict[str, str] = {}
 QUERIES: dict = {}
@@ -379,10 +379,13 @@ def intersection_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = lambda *p: F.array(*[F.struct(a.cast("double").alias("x"), b.cast("double").alias("y")) for a, b in p])
     x, y, w, h = k * 3571 % 50000, k * 7727 % 50000, 250 * (k % 7 + 1), 250 * (k % 5 + 1)
     notched = ring((x, y), (x + w, y), (x + w, y + h), (x + 3 * w / 5, y + h), (x + 3 * w / 5, y + h / 2), (x + 2 * w / 5, y + h / 2), (x + 2 * w / 5, y + h), (x, y + h), (x, y))
-    features = read_table(spark, sf_dir, "part").where(k % 2 == 0).select(k.alias("code"), S.st_polygon(F.array(notched)).alias("geom"))
-    pairs = box_join(with_box(_cells(spark, sf_dir).select("spatial_id", "cell_geom"), "cell_geom"), with_box(features, "geom"))
-    shared = overlay.intersection(pairs, ["spatial_id", "code"], "cell_geom", "geom")
-    return shared.groupBy("spatial_id", "code").agg(F.round(F.sum(S.st_area("geom")), 1).alias("area"), F.count("*").cast("int").alias("parts")).where("area > 0.001")
+    features = spread(read_table(spark, sf_dir, "part").where(k % 2 == 0).select(k)).select(k.alias("code"), S.st_polygon(F.array(notched)).alias("geom"))
+    # Equal cells and equal features are overlaid once; what they share is then joined with the rows of either side.
+    cells = with_shape(_cells(spark, sf_dir).select("spatial_id", "cell_geom"), "cell_geom", "cell")
+    features = written(with_shape(features, "geom", "feature"), "features")
+    shared = overlay.intersection(shape_pairs(cells, features, "cell_geom", "geom", "cell", "feature"), ["cell", "feature"], "cell_geom", "geom")
+    parts = shared.groupBy("cell", "feature").agg(F.round(F.sum(S.st_area("geom")), 1).alias("area"), F.count("*").cast("int").alias("parts")).where("area > 0.001")
+    return parts.join(cells, "cell").join(features.hint("merge"), "feature").select("spatial_id", "code", "area", "parts")
 
 
 @query("""WITH base AS (SELECT p_partkey AS id, p_partkey % 5 AS form, p_partkey * 3571 % 50000 AS x, p_partkey * 7727 % 50000 AS y, 10 * (p_partkey % 9 + 1) AS w FROM part),

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cellweave.functions import spatial as S
@@ -6,6 +7,8 @@ from cellweave.geo import shapes
 from cellweave.operators import spatial_join
 from cellweave.operators.isochrone import graph_edges, graph_nodes, isochrones
 from cellweave.operators.spatial_join import best_overlap, box_join, containing, intersecting, nearest_within
+from cellweave.plans import registry
+from cellweave.storage import spread
 
 
 def box(a, b, c, d):
@@ -111,3 +114,24 @@ def test_cells_in_spark(spark):
     assert len(got[0].c) == 15 and abs(got[0].a / got[0].p - 1) < 0.01 and got[1].c is None and got[1].p is None
     at = spark.range(1).select(S.st_point(F.lit(3.0), F.lit(4.0)).alias("g")).first().g
     assert shapes.vertices(shapes.read_wkb(bytes(at))).tolist() == [[3, 4]]
+
+
+def test_equal_cells_and_features_are_overlaid_once(spark, monkeypatch):
+    seen = []
+
+    def counted(pairs, key, one, other):
+        seen.append((pairs.count(), pairs.select(one, other).distinct().count()))
+        raise LookupError
+
+    monkeypatch.setattr(registry.overlay, "intersection", counted)
+    with pytest.raises(LookupError):
+        registry.intersection_parts(spark, "/root/testdata/sf0.1")
+    assert seen[0][0] == seen[0][1] > 0
+
+
+def test_polygons_from_rings(spark):
+    outer, hole = [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 0.0)], [(5.0, 1.0), (6.0, 1.0), (6.0, 2.0), (5.0, 1.0)]
+    rows = spark.createDataFrame([(0, None), (1, [outer, hole]), (2, [hole]), (3, [])], "id int, rings array<array<struct<x: double, y: double>>>").coalesce(1)
+    got = {r.id: r.g for r in rows.select("id", S.st_polygon(F.col("rings")).alias("g")).collect()}
+    want = {k: bytes(shapes.write_wkb((shapes.POLYGON, [[np.array(r) for r in rings]]))) for k, rings in ((1, [outer, hole]), (2, [hole]), (3, []))}
+    assert got.pop(0) is None and {k: bytes(v) for k, v in got.items()} == want
