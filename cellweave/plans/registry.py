@@ -406,7 +406,7 @@ def well_known_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 5 == 3, F.concat(F.lit("LINESTRING"), box))
         .otherwise("POLYGON  EMPTY")
     )
-    read = read_table(spark, sf_dir, "part").select(k.alias("id"), from_text(text).alias("geom"))
+    read = spread(read_table(spark, sf_dir, "part").select(k)).select(k.alias("id"), from_text(text).alias("geom"))
     return read.select("id", to_text(F.col("geom")).alias("text"), S.st_area("geom").alias("area"), S.st_length("geom").alias("length"))
 
 

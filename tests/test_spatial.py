@@ -135,3 +135,10 @@ def test_polygons_from_rings(spark):
     got = {r.id: r.g for r in rows.select("id", S.st_polygon(F.col("rings")).alias("g")).collect()}
     want = {k: bytes(shapes.write_wkb((shapes.POLYGON, [[np.array(r) for r in rings]]))) for k, rings in ((1, [outer, hole]), (2, [hole]), (3, []))}
     assert got.pop(0) is None and {k: bytes(v) for k, v in got.items()} == want
+
+
+def test_rows_of_one_small_file_are_dealt_over_tasks(spark):
+    one = spark.range(100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() >= 4 and spread(one).count() == 100
+    for name in ("well_known_text",):
+        assert registry.queries()[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4
