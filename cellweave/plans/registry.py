@@ -449,7 +449,7 @@ def _isochrones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    return read_table(spark, sf_dir, "customer").select(k, (F.lit(-5.0) + k * 7919 % 6000 / F.lit(1000.0)).alias("lon"), (F.lit(50.5) + k * 104729 % 6000 / F.lit(1000.0)).alias("lat"))
+    return spread(read_table(spark, sf_dir, "customer").select(k)).select(k, (F.lit(-5.0) + k * 7919 % 6000 / F.lit(1000.0)).alias("lon"), (F.lit(50.5) + k * 104729 % 6000 / F.lit(1000.0)).alias("lat"))
 
 
 @query()

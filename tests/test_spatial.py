@@ -140,5 +140,5 @@ def test_polygons_from_rings(spark):
 def test_rows_of_one_small_file_are_dealt_over_tasks(spark):
     one = spark.range(100).coalesce(1)
     assert spread(one).rdd.getNumPartitions() >= 4 and spread(one).count() == 100
-    for name in ("well_known_text",):
+    for name in ("well_known_text", "h3_boundary", "h3_area"):
         assert registry.queries()[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4
