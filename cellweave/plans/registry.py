@@ -365,7 +365,7 @@ def make_valid_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 4 == 2, F.array(at((0, 0), (100, 0), (100, 100), (0, 100), (0, 0)), at((30, 30), (60, 30), (60, 60), (30, 60), (30, 30))))
         .otherwise(F.array(at((0, 0), (w, 0), (w, 100), (0, 100), (0, 0)), at((0, 0), (200, 0), (200, 50), (0, 50), (0, 0)), at((200, 0), (0, 0), (0, 50), (200, 50), (200, 0))))
     )
-    raw = read_table(spark, sf_dir, "part").select(k.alias("id"), S.st_polygon(rings).alias("geom"))
+    raw = spread(read_table(spark, sf_dir, "part").select(k)).select(k.alias("id"), S.st_polygon(rings).alias("geom"))
     valid = overlay.make_valid(raw, ["id"])
     return valid.withColumns({"area": S.st_area("geom"), "holes": S.st_rings("geom") - 1}).groupBy("id").agg(F.count("*").cast("int").alias("parts"), F.round(F.sum("area"), 3).alias("area"), F.sum("holes").cast("int").alias("holes"))
 
