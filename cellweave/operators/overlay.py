@@ -163,7 +163,7 @@ def _split_points(edges: DataFrame, tile: int) -> DataFrame:
     e, f = [F.col(c) for c in _XY], [F.col(f"o{c}") for c in _XY]
     (ax, ay, bx, by), (cx, cy, dx, dy) = e, f
     meet = (F.struct(*e) < F.struct(*f)) & (cx <= bx + 1) & (ax <= dx + 1) & (F.least(cy, dy) <= F.greatest(ay, by) + 1) & (F.least(ay, by) <= F.greatest(cy, dy) + 1)
-    pairs = tiles.join(other, ["k", "tx", "ty"]).where(meet)
+    pairs = tiles.join(other.hint("merge"), ["k", "tx", "ty"]).where(meet)
     c, d, a, b = _cross(ax, ay, bx, by, cx, cy), _cross(ax, ay, bx, by, dx, dy), _cross(cx, cy, dx, dy, ax, ay), _cross(cx, cy, dx, dy, bx, by)
     pairs = pairs.withColumns({"c_": c, "d_": d, "a_": a, "b_": b})
     proper = (F.col("c_") * F.col("d_") < 0) & (F.col("a_") * F.col("b_") < 0)
@@ -242,13 +242,13 @@ def outline(edges: DataFrame, inside: Callable[[Column, Column], Column], tile:
     below, above = _cross(*e, F.col("mx"), bottom), _cross(*e, F.col("mx"), F.col("my"))
     eastward = (F.least(e[1], e[3]) < bottom) & (F.greatest(e[1], e[3]) > bottom) & (F.col("met") == F.col("tx")) & F.when(up, below <= 0).otherwise(below >= 0)
     upward = (e[0] <= F.col("mx")) & (F.col("mx") < e[2]) & F.when(up, below <= 0).otherwise(below < 0) & (above > 0)
-    pairs = m.join(near, ["k", "tx", "ty"]).where(eastward | upward)
+    pairs = m.join(near.hint("merge"), ["k", "tx", "ty"]).where(eastward | upward)
     step = F.when(eastward, F.when(up, -1).otherwise(1)).otherwise(0) + F.when(upward, 1).otherwise(0)
     own = [F.col(f"m{c}").alias(c) for c in _XY]
     zero = F.lit(0).cast("long")
     counted = (
         pairs.select("k", *own, *[(step * F.col(x)).cast("long").alias(f"r{x}") for x in w], zero.alias("wa"), zero.alias("wb"))
-        .unionByName(m.join(corner, ["k", "tx", "ty"]).select("k", *own, *[F.col(x).alias(f"r{x}") for x in w], zero.alias("wa"), zero.alias("wb")))
+        .unionByName(m.join(corner.hint("merge"), ["k", "tx", "ty"]).select("k", *own, *[F.col(x).alias(f"r{x}") for x in w], zero.alias("wa"), zero.alias("wb")))
         .unionByName(edges.select("k", *_XY, zero.alias("rwa"), zero.alias("rwb"), "wa", "wb"))
     )
     sides = counted.groupBy("k", *_XY).agg(*[F.sum(x).alias(x) for x in ("rwa", "rwb", "wa", "wb")])
@@ -417,7 +417,7 @@ def polygons_of(edges: DataFrame, tile: int = TILE, grain: float = GRAIN) -> Dat
     chains = walks.where("head is not null")
     full = lambda c: F.concat("k", F.lit("|"), c)
     rings = connected_components(chains.select(full("head").alias("a"), full("tail").alias("b")))
-    grouped = chains.withColumn("node", full("head")).join(rings, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    grouped = chains.withColumn("node", full("head")).join(rings.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     closed = _grouped(grouped.select("k", "component", "head", "tail", "xy"), ["k", "component"], _joined, "k string, xy binary")
     loops = written(walks.where("head is null").select("k", "xy").unionByName(closed).mapInArrow(_loops(grain), "k string, ring string, size double, outer boolean, mid_x double, mid_y double, geom binary"), "rings")
     outers, holes = loops.where("outer"), loops.where("not outer")

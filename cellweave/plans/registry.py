@@ -328,7 +328,7 @@ def _numbered_parts(parts: DataFrame) -> DataFrame:
 
 
 def _dissolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")).distinct()
+    cells = spread(read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")).distinct())
     i, j = F.col("k") % 40 * 100, F.floor(F.col("k") / 40) * 100
     squares = cells.select("k", (F.col("k") * 7919 % 5 < 3).alias("urban"), S.st_rectangle(i, j, i + 100, j + 100).alias("geom"))
     return overlay.union(squares, ["urban"]).withColumn("area", S.st_area("geom"))

@@ -166,3 +166,28 @@ def test_intersection_and_difference(spark, tile):
             assert 100 not in got and 101 not in got and got[102] == [27.0] and sorted(got[103]) == [6.0, 6.0]
         else:
             assert got[100] == [100.0] and got[101] == [100.0] and sorted(got[102]) == [27.0, 27.0] and sorted(got[103]) == [6.0, 6.0, 39.0]
+
+
+def test_no_broadcast_grows_with_the_outline(spark, monkeypatch):
+    """Joins by tile and rounds over the links of chains, which are texts, are shuffled: broadcasts of these would add up on the driver."""
+    from cellweave.operators import components
+
+    links = spark.createDataFrame([(f"k|{i},0,{i + 1},0", f"k|{i + 1},0,{i + 2},0") for i in range(40)], "a string, b string")
+    seen = []
+    monkeypatch.setattr(components.F, "broadcast", lambda df: seen.append(df.columns) or df)
+    assert {r.component for r in connected_components(links).collect()} == {"k|0,0,1,0"} and not seen
+    hints, hint = [], type(links).hint
+    monkeypatch.setattr(type(links), "hint", lambda df, name, *a: hints.append(name) or hint(df, name, *a))
+    rows = spark.createDataFrame([("a", wkb(square(i, 0, 2))) for i in range(6)], "k string, geom binary")
+    assert [r.n for r in O.union(rows, ["k"], tile=2000).groupBy("k").agg(F.count("*").alias("n")).collect()] == [1]
+    assert hints.count("merge") >= 4
+
+
+def test_small_files_are_dealt_over_tasks_before_their_shapes_are_built(spark, monkeypatch):
+    from cellweave.plans import registry
+
+    for name in ("_dissolved",):
+        given = []
+        monkeypatch.setattr(registry.overlay, "union", lambda df, key, given=given: given.append(df) or df)
+        getattr(registry, name)(spark, "/root/testdata/sf0.001")
+        assert given[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
