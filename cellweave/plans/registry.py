@@ -347,7 +347,7 @@ def union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The union of overlapping rectangles by class, dumped."""
     k = F.col("p_partkey")
     x, y = F.floor(k * 3571 % 50000 / 50) * 50, F.floor(k * 7727 % 50000 / 50) * 50
-    rects = read_table(spark, sf_dir, "part").select((k % 2 == 0).alias("urban"), S.st_rectangle(x, y, x + 100 * (k % 7 + 1), y + 100 * (k % 5 + 1)).alias("geom"))
+    rects = spread(read_table(spark, sf_dir, "part").select(k)).select((k % 2 == 0).alias("urban"), S.st_rectangle(x, y, x + 100 * (k % 7 + 1), y + 100 * (k % 5 + 1)).alias("geom"))
     return _numbered_parts(overlay.union(rects, ["urban"]).withColumn("area", S.st_area("geom")))
 
 

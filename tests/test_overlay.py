@@ -186,7 +186,7 @@ def test_no_broadcast_grows_with_the_outline(spark, monkeypatch):
 def test_small_files_are_dealt_over_tasks_before_their_shapes_are_built(spark, monkeypatch):
     from cellweave.plans import registry
 
-    for name in ("_dissolved",):
+    for name in ("_dissolved", "union_parts"):
         given = []
         monkeypatch.setattr(registry.overlay, "union", lambda df, key, given=given: given.append(df) or df)
         getattr(registry, name)(spark, "/root/testdata/sf0.001")
