@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.common import read_table, written
 
-#: The trees, and about how many vectors a leaf holds: the trees' depth follows from the number of distinct vectors.
+#: The trees, and about how many vectors a leaf holds at least: the trees' depth follows from the number of distinct vectors.
 TREES, LEAF = 12, 100
 #: The share of neighbours that the visits are to find, and how many vectors of the sample, with how many neighbours each, it is measured on.
 RECALL, MEASURED, NEIGHBOURS = 0.94, 64, 20
@@ -78,10 +78,14 @@ class Forest:
 
 
 def depth_for(vectors: int) -> int:
-    """Levels of planes for so many distinct vectors; the sample's bound is that of the leaves, too."""
+    """Levels of planes for so many distinct vectors; the sample's bound is that of the leaves, too.
+
+    Leaves and what each holds grow alike, with the square root of the table. With leaves of one size the visits of a query would grow nearly
+    with the table, as vectors that fill all their dimensions need a share of it, and each visit is a row with the vector and ``top`` found.
+    """
     if vectors < ONE_LEAF:
         return 0
-    return min(round(math.log2(vectors / LEAF)), int(math.log2(SAMPLE_ROWS / SAMPLE_PER_LEAF)))
+    return min(round(math.log2(vectors / max(LEAF, math.sqrt(vectors)))), int(math.log2(SAMPLE_ROWS / SAMPLE_PER_LEAF)))
 
 
 def fit_forest(sample: np.ndarray, radius: float, trees: int, depth: int, seed: int = 7) -> Forest:
@@ -207,7 +211,7 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
     The nearest by inner product come first, ties by the smaller id; scores are in double precision on the components as
     they are. Vectors that are null, zero or hold null or non-finite components take no part, on either side. Equal
     vectors are searched once and expanded from their smallest ids, so a vector that many rows share costs no more.
-    Leaves, of about ``LEAF`` vectors, are compared in blocks of bounded size. Unless given, the number of ``visits`` is what
+    Leaves are compared in blocks of bounded size. Unless given, the number of ``visits`` is what
     finds ``RECALL`` of the neighbours within the sample that the planes are fitted on. An empty table gives no rows.
     """
     spark, kind = rows.sparkSession, _kind(rows, vector_col)
@@ -224,7 +228,8 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_
     shared = spark.sparkContext.broadcast(forest)
     row = f"tree int, leaf int, vid long, vec array<{kind}>"
     routed = vectors.select("vid", "vec").mapInArrow(_router(shared), row)
-    sought = asked.select("vid").distinct().join(vectors.select("vid", "vec"), "vid").mapInArrow(_visitor(shared, visits), row)
+    # The queue's work is done once; both uses below read it.
+    sought = written(asked.select("vid").distinct().join(vectors.select("vid", "vec"), "vid").mapInArrow(_visitor(shared, visits), row), "visits")
     # How many blocks a leaf takes on either side; a row per leaf of the forest, whatever the input's size.
     blocks = lambda side, name: side.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
     sizes = F.broadcast(written(blocks(routed, "v_blocks").join(blocks(sought, "q_blocks"), ["tree", "leaf"]), "leaves"))

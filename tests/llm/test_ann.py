@@ -98,3 +98,38 @@ def test_pruned_search_in_spark_against_brute_force(spark):
     assert found.keys() == want.keys() and all(len(v) == 20 for v in found.values())
     assert np.mean([len({i for i, _ in found[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
     assert all(abs(s - x[q] @ x[i]) < 1e-12 for q, near in found.items() for i, s in near)
+
+
+def test_visits_grow_slower_than_the_table():
+    """Even vectors: five times the table and its queries make under 12 times the visits."""
+    visits = []
+    for n in (10_000, 50_000):
+        x, depth = np.random.default_rng(5).normal(size=(n, 64)), depth_for(n)
+        forest = fit_forest(x[: 32 << depth], float(np.linalg.norm(x, axis=1).max()), TREES, depth)
+        visits.append(visits_needed(forest, x[: 32 << depth]))
+    print(visits)
+    assert 5 * visits[1] < 10 * visits[0]
+
+
+def test_the_queue_runs_once_a_query(spark, monkeypatch, tmp_path):
+    """A visited leaf is a row of a written table; nothing computes it twice."""
+    from cellweave.llm import ann
+
+    plain = ann._visitor
+
+    def marked(shared, visits):
+        visit = plain(shared, visits)
+
+        def run(batches):
+            for batch in visit(batches):
+                with open(f"{tmp_path}/rows", "a") as f:
+                    f.write(f"{batch.num_rows}\n")
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(ann, "_visitor", marked)
+    x = np.random.default_rng(9).normal(size=(1000, 8))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    nearest(df, df.where("vec_id % 100 = 0"), visits=20).collect()
+    assert sum(map(int, (tmp_path / "rows").read_text().split())) == 10 * 20
